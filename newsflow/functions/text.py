@@ -5,8 +5,9 @@ white space around the markers is closed up. No page is split into per-row array
 runs per row. Python is entered only by the rows whose character references are outside
 ``COMMON_REFERENCES`` (see ``decode_references``).
 
-Patterns stay linear on hostile input: each run of white space is visited from its start only (the
-look-behind) and quantifiers over attributes are possessive.
+Patterns are written for speed: every alternative starts with one literal or one class test, so plain
+text costs one test per character; runs of white space are entered at their start only (the
+look-behind), and quantifiers over attributes are possessive, which keeps hostile input linear.
 """
 
 import html as _html
@@ -18,27 +19,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.constants import (
-    CONTENT_SELECTORS,
-    TITLE_SELECTOR,
-    TOPIC_PHRASES,
-    TOPIC_WORDS,
-    UNKNOWN_TITLE,
-)
+from newsflow.constants import TOPIC_PHRASES, TOPIC_WORDS
 
 # --- fixed values: Python's notion of white space and of line ends ---------------------------
-SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-LINE_END = r"[\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_SPACE_SET = (
+    r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+)
+SPACE = f"[{_SPACE_SET}]"
+LINE_END = r"[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Unicode noncharacters: character references cannot decode to them.
 MARK, PARAGRAPH = "\uffff", "\ufffe"
 
-_COMMENT = r"<!--.*?(?:-->|\z)"
-_SCRIPT = r"<(script|style)(?=[\s>/])[^>]*+>.*?(?:</\1\s*>|\z)"
-_TAG = r"""<[!/?]?[A-Za-z](?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
-INVISIBLE = rf"(?is){_SCRIPT}|{_COMMENT}"
-MARKUP = rf"(?is){_SCRIPT}|{_COMMENT}|{_TAG}"
-TAG = rf"(?is){_TAG}"
+_COMMENT = r"!--.*?(?:-->|\z)"
+_SCRIPT = r"(script|style)(?=[\s>/])[^>]*+>.*?(?:</\1\s*>|\z)"
+_TAG = r"""[!/?]?[A-Za-z](?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
+INVISIBLE = rf"(?is)<(?:{_SCRIPT}|{_COMMENT})"
+MARKUP = rf"(?is)<(?:{_SCRIPT}|{_COMMENT}|{_TAG})"
+TAG = rf"(?is)<{_TAG}"
 
 # --- fixed values: references decoded without leaving the JVM; "&amp;" must stay last ---------
 COMMON_REFERENCES = (
@@ -70,28 +70,31 @@ def _decode_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield texts.map(_html.unescape, na_action="ignore")
 
 
-def decode_references(text: Column) -> Column:
+def decode_references(text: Column, source: Column | None = None) -> Column:
     """Decode HTML character references.
 
-    Rows that hold only common references (nearly all) are decoded by native replaces. The others
-    go through one Arrow batch function with the full list; rows that do not need it send it null.
+    Rows that hold only common references are decoded by native replaces. The others go through one
+    Arrow batch function with the full list; rows that do not need it send it null. ``source`` is the
+    column ``text`` was made from: testing that one instead lets each row compute ``text`` just once,
+    on the side it takes.
     """
     native = text
     for reference, char in COMMON_REFERENCES:
         native = F.replace(native, F.lit(reference), F.lit(char))
-    rare = text.rlike(_OTHER_REFERENCE)
+    rare = (text if source is None else source).rlike(_OTHER_REFERENCE)
     return F.coalesce(_decode_all(F.when(rare, text)), native)
 
 
 def strip(text: Column) -> Column:
     """Remove Unicode white space from both ends."""
-    return F.regexp_replace(text, rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def _close_up(text: Column, mark: str, repl: str, merge: bool) -> Column:
     """Replace each ``mark`` and the white space around it by ``repl``."""
-    tail = rf"(?:{SPACE}|{mark})*+" if merge else rf"{SPACE}*+"
-    return F.regexp_replace(text, rf"(?<!{SPACE}){SPACE}*+{mark}{tail}", repl)
+    here = f"[{_SPACE_SET}{mark}]"
+    tail = here if merge else SPACE
+    return F.regexp_replace(text, rf"(?={here})(?<!{SPACE}){SPACE}*+{mark}{tail}*+", repl)
 
 
 def is_topic(
@@ -111,14 +114,14 @@ def is_topic(
 
 def html_to_text(page: Column) -> Column:
     """Visible text: one line per text piece, no empty lines, double blanks also break lines."""
-    text = decode_references(F.regexp_replace(page, MARKUP, "\n"))
-    breaks = rf"(?<!{SPACE}){SPACE}*?(?:{LINE_END}|  ){SPACE}*+"
+    text = decode_references(F.regexp_replace(page, MARKUP, "\n"), page)
+    breaks = rf"(?={SPACE})(?<!{SPACE}){SPACE}*?(?:{LINE_END}|  ){SPACE}*+"
     return strip(F.regexp_replace(text, breaks, "\n"))
 
 
 def strip_join(fragment: Column) -> Column:
     """Text pieces of a fragment, each trimmed, joined without a separator."""
-    text = decode_references(F.regexp_replace(fragment, MARKUP, MARK))
+    text = decode_references(F.regexp_replace(fragment, MARKUP, MARK), fragment)
     return strip(_close_up(text, MARK, "", merge=True))
 
 
@@ -134,24 +137,30 @@ def _open_tag(tag: str, css_class: str | None) -> str:
     return rf"<(?i:{tag})(?=\s[^>]*?(?<=\s)(?i:class)\s*=\s*(?:{value}))[^>]*+>"
 
 
-def first_block(page: Column, tag: str, css_class: str | None = None) -> Column:
-    """Inner HTML of the first such element, null if there is none.
+def block_tail(page: Column, tag: str, css_class: str | None = None) -> Column:
+    """The page from the end of the first such opening tag on (its ``>`` included), else empty."""
+    opening = _open_tag(tag, css_class).removesuffix(">")
+    return F.regexp_extract(page, rf"(?s){opening}(>.*)", 1)
 
-    The element ends at its own closing tag: inner elements of the same name are counted, which
-    costs an array of pieces, so only rows that do nest pay for it. An element that is never closed
-    runs to the end of the page.
-    """
-    opening = _open_tag(tag, css_class)
-    tail = F.regexp_extract(page, rf"(?s){opening}(.*)", 1)
-    close = rf"(?i:</{tag}\s*+>)"
-    flat = F.regexp_extract(tail, rf"(?s)\A(.*?)(?:{close}|\z)", 1)
 
-    pieces = F.split(tail, rf"(?i)(?=<{tag}[\s>/]|</{tag}\s*+>)")
+def flat_block(tail: Column, tag: str) -> Column:
+    """Inner HTML up to the first closing tag, or to the end of the page if there is none."""
+    return F.regexp_extract(tail, rf"(?s)\A>(.*?)(?:(?i:</{tag}\s*+>)|\z)", 1)
+
+
+def nests(flat: Column, tag: str) -> Column:
+    """Whether the flat block opens another element of the same name."""
+    return flat.rlike(rf"(?i)<{tag}[\s>/]")
+
+
+def nested_block(tail: Column, tag: str) -> Column:
+    """Inner HTML up to the element's own closing tag, inner elements of the same name counted."""
+    pieces = F.split(F.substr(tail, F.lit(2)), rf"(?i)(?=<{tag}[\s>/]|</{tag}\s*+>)")
     start = F.struct(F.lit(0).alias("i"), F.lit(1).alias("depth"), F.lit(0).alias("end"))
 
     def step(acc, piece):
         depth = (
-            F.when(piece.rlike(rf"\A{close}"), acc["depth"] - 1)
+            F.when(piece.rlike(rf"(?i)\A</{tag}\s*+>"), acc["depth"] - 1)
             .when(piece.rlike(rf"(?i)\A<{tag}[\s>/]"), acc["depth"] + 1)
             .otherwise(acc["depth"])
         )
@@ -163,9 +172,7 @@ def first_block(page: Column, tag: str, css_class: str | None = None) -> Column:
         )
 
     end = F.aggregate(pieces, start, step, lambda acc: F.when(acc["end"] > 0, acc["end"]))
-    nested = F.array_join(F.slice(pieces, F.lit(1), F.coalesce(end, F.size(pieces))), "")
-    body = F.when(flat.rlike(rf"(?i)<{tag}[\s>/]"), nested).otherwise(flat)
-    return F.when(page.rlike(opening), body)
+    return F.array_join(F.slice(pieces, F.lit(1), F.coalesce(end, F.size(pieces))), "")
 
 
 def paragraphs(block: Column) -> Column:
@@ -174,23 +181,12 @@ def paragraphs(block: Column) -> Column:
     text = F.regexp_replace(block, INVISIBLE, MARK)
     text = F.regexp_replace(text, rf"(?s)(?:\A|</[pP]\s*+>).*?(?={p_open}|\z)", "")
     text = F.regexp_replace(text, rf"{p_open}[^>]*+>", PARAGRAPH)
-    text = decode_references(F.regexp_replace(text, TAG, MARK))
+    text = decode_references(F.regexp_replace(text, TAG, MARK), block)
     text = _close_up(text, MARK, "", merge=True)
     text = strip(_close_up(text, PARAGRAPH, PARAGRAPH, merge=False))
     return F.replace(F.substring(text, F.lit(2), F.length(text)), F.lit(PARAGRAPH), F.lit("\n\n"))
 
 
-def article_title(page: Column, selector=TITLE_SELECTOR) -> Column:
-    """Text of the title element, or a fixed placeholder."""
-    return F.coalesce(strip_join(first_block(page, *selector)), F.lit(UNKNOWN_TITLE))
-
-
-def article_content(page: Column, selectors=CONTENT_SELECTORS) -> Column:
-    """Paragraphs of the first content element found, in order of preference, else empty text."""
-    block = F.coalesce(*[first_block(page, *s) for s in selectors])
-    return F.coalesce(paragraphs(block), F.lit(""))
-
-
 def meta_published(page: Column) -> Column:
     """Raw text of the published-time meta tag, empty when there is none."""
     tag = (

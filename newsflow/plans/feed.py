@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.constants import CONTENT_SELECTORS, SOURCE_FEED, TITLE_SELECTOR
-from newsflow.functions.text import article_content, article_title, meta_published
 from newsflow.functions.times import parse_page_date
 from newsflow.functions.urls import canonical_key, is_http_url
 from newsflow.operators.dedupe import only_new
+from newsflow.operators.extract import with_article
 from newsflow.operators.records import (
     chosen_title,
     feed_metadata,
@@ -51,13 +51,14 @@ def feed_candidates(
 
     html = F.col("html")
     has_page = ~is_missing(html)
-    extracted = landed.select(
+    articles = with_article(landed, "html", title_selector, content_selectors)
+    extracted = articles.select(
         *listed.columns,
         F.coalesce("http_status", F.lit(0)).alias("http_status"),
         has_page.alias("has_page"),
-        article_title(html, title_selector).alias("page_title"),
-        article_content(html, content_selectors).alias("content"),
-        parse_page_date(meta_published(html), run_ts).alias("published_at"),
+        "page_title",
+        "content",
+        parse_page_date(F.col("published_raw"), run_ts).alias("published_at"),
         *([F.col("html")] if raw else []),
     )
     title = chosen_title(F.col("page_title"), F.col("feed_title"))

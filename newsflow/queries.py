@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import text, times, urls
 from newsflow.operators import audit, compare, dedupe, enrich, quota, records, upsert, validate
-from newsflow.operators.ordering import with_prior_count
+from newsflow.operators.extract import with_article
 from newsflow.plans import feed, ranked
 from newsflow.schemas import ANALYSIS, ARTICLES, OUTPUT_RECORD, RAW_RECORD, STORY_ITEM
 from newsflow.session import scratch_path, stage
@@ -108,14 +108,12 @@ def generic_text(spark, pages):
 
 @given("pages")
 def article_extract(spark, pages):
-    html = F.col("html")
-    title = records.chosen_title(text.article_title(html, TITLE), F.col("url"))
-    return pages.select(
+    return with_article(pages, "html", TITLE, CONTENT).select(
         "page_id",
-        title.alias("title"),
-        text.article_content(html, CONTENT).alias("content"),
-        text.meta_published(html).alias("published_raw"),
-        times.isoformat(times.parse_page_date(text.meta_published(html), RUN_TS)).alias("published_at"),
+        records.chosen_title(F.col("page_title"), F.col("url")).alias("title"),
+        "content",
+        "published_raw",
+        times.isoformat(times.parse_page_date(F.col("published_raw"), RUN_TS)).alias("published_at"),
     )
 
 
@@ -160,10 +158,9 @@ def feed_dates(spark, events):
 
 @given("pages")
 def raw_feed_records(spark, pages):
-    content = text.article_content(F.col("html"), CONTENT)
-    rows = readers.landed_pages(pages).join(pages.select("page_id", "url"), "url").select(
-        F.lit("pages").alias("source"), F.col("page_id").alias("pos"), "url", "http_status", "html",
-        F.col("url").alias("title"), content.alias("content"),
+    named = pages.select("url", "html", F.col("page_id").alias("pos"), F.lit("pages").alias("source"))
+    rows = with_article(named, "html", TITLE, CONTENT).withColumns(
+        {"title": F.col("url"), "http_status": F.lit(200)}
     )
     body = records.raw_body_feed(F.col("content"), F.col("html"))
     return records.raw_records(rows, body, F.lit(None).cast("string"), RUN_TS)

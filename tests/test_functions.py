@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.functions import text, times, urls
+from newsflow.operators.extract import with_article
 
 RUN = dt.datetime(2026, 1, 2, 3, 4, 5)
 
@@ -131,22 +132,22 @@ PAGES = [
 
 
 class _Text(html.parser.HTMLParser):
-    """Text pieces outside script and style, for comparison."""
+    """Text outside script and style, a line end for each tag and comment; for comparison."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.pieces, self.skip = [], 0
 
     def handle_starttag(self, tag, attrs):
-        self.pieces.append("")
+        self.pieces.append("\n")
         self.skip += tag in ("script", "style")
 
     def handle_endtag(self, tag):
-        self.pieces.append("")
+        self.pieces.append("\n")
         self.skip -= tag in ("script", "style")
 
     def handle_comment(self, data):
-        self.pieces.append("")
+        self.pieces.append("\n")
 
     def handle_data(self, data):
         if not self.skip:
@@ -159,7 +160,7 @@ def std_text(page):
     parser = _Text()
     parser.feed(page)
     parser.close()
-    lines = (line.strip() for line in "\n".join(parser.pieces).splitlines())
+    lines = (line.strip() for line in "".join(parser.pieces).splitlines())
     return "\n".join(c for line in lines for c in (p.strip() for p in line.split("  ")) if c)
 
 
@@ -183,6 +184,11 @@ def test_strip_join(spark):
     ) == ["Helloyou", "abc d", "xz", "", None]
 
 
+def articles(spark, pages):
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    return with_article(rows).orderBy("i").collect()
+
+
 def test_article(spark):
     page = (
         '<h1 class="big article__title x"> The <em>Title</em></h1>'
@@ -191,17 +197,17 @@ def test_article(spark):
         "<p></p><pre>gone? no</pre></div><p>outside</p>"
     )
     entry = "<div class='entry-content'><p>fallback &amp; more</p><script>'<p>no</p>'</script></div>"
-    titles = apply(spark, [page, entry, "<h1 class=article__title></h1>"], text.article_title)
-    assert titles == ["TheTitle", "Unknown Title", ""]
-    contents = apply(spark, [page, entry, "<p>none</p>", "<div class=article-content>"], text.article_content)
-    assert contents == ["one\n\ntwobold\n\n", "fallback & more", "", ""]
+    empty_title, empty_block = "<h1 class=article__title></h1><p>none</p>", "<div class=article-content>"
+    got = articles(spark, [page, entry, empty_title, empty_block, None])
+    assert [r.page_title for r in got] == ["TheTitle", "Unknown Title", "", "Unknown Title", "Unknown Title"]
+    assert [r.content for r in got] == ["one\n\ntwobold\n\n", "fallback & more", "", "", ""]
 
 
 def test_long_runs_stay_linear(spark):
     nasty = ["\t" * 200_000, "<p " + "a" * 200_000, "<div>" * 20_000, "&" * 100_000, "<!--" * 50_000]
     for value in nasty:
         apply(spark, [value], text.html_to_text)
-        apply(spark, ["<div class='article-content'>" + value], text.article_content)
+        articles(spark, ["<div class='article-content'>" + value])
 
 
 def test_meta_published(spark):
