@@ -104,8 +104,9 @@ def is_topic(
     low = F.lower(title)
     tests = [low.contains(p) for p in phrases]
     if words:
-        any_word = "|".join(re.escape(w) for w in words)
-        tests.append(low.rlike(rf"(?:\A|{SPACE})(?:{any_word})(?:{SPACE}|\z)"))
+        other = f"[^{_SPACE_SET}]"
+        alone = [rf"{w}(?!{other})(?<!{other}{w})" for w in map(re.escape, words)]
+        tests.append(low.rlike("|".join(alone)))
     hit = F.lit(False)
     for test in tests:
         hit = hit | test

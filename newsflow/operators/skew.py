@@ -14,6 +14,7 @@ row to the same place.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_024
 MAX_SALTS = 4_096
@@ -46,7 +47,7 @@ def lookup_join(
     """Join ``left`` to ``right`` (unique on ``key``) by ``key``; ``how``: left, inner, left_semi or left_anti.
 
     ``spread`` identifies a left row and decides its salt. ``counts`` is ``(key, _n)`` if the caller has
-    it already. Null keys match nothing and are spread as well.
+    it already; counts over more rows than ``left`` do as well. Null keys match nothing and are spread.
     """
     hot = F.broadcast(hot_keys(counts if counts is not None else key_counts(left, key), key, hot_rows))
     place = F.xxhash64(spread)
@@ -68,3 +69,30 @@ def lookup_join(
         .drop("_salts")
     )
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+
+
+def data_size(df: DataFrame) -> int:
+    """Upper estimate of the bytes in ``df``: text lengths plus a fixed share per field. One small job."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() == "string"]
+    per_row = F.lit(32 * len(df.columns))
+    for length in text:
+        per_row = per_row + length
+    return df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0)).alias("n")).first().n
+
+
+def wide_lookup(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: str | Column,
+    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Inner look-up into a table of wide rows, such as page bodies. ``left`` should be a staged table.
+
+    A left side that measures small is broadcast, so that the wide table is filtered where it is scanned
+    and never shuffled. A larger one takes the salted join.
+    """
+    if data_size(left) <= broadcast_bytes:
+        return right.join(F.broadcast(left), key).select(*left.columns, *[c for c in right.columns if c != key])
+    return lookup_join(left, right, key, spread, "inner", hot_rows=hot_rows)

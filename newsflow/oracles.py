@@ -22,7 +22,7 @@ def _nest(value, *calls):
 
 
 def decode(value):
-    pairs = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("middot", "·"), ("nbsp", " "), ("amp", "&"))
+    pairs = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("middot", "·"), ("nbsp", "\u00a0"), ("amp", "&"))
     return _nest(value, *[f"replace($, '&{name};', '{char}')" for name, char in pairs])
 
 

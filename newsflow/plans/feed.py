@@ -17,8 +17,9 @@ from newsflow.operators.records import (
     raw_body_feed,
     raw_records,
 )
-from newsflow.operators.skew import HOT_ROWS, lookup_join
-from newsflow.plans.flow import Walk, records_of, walk
+from newsflow.operators.skew import HOT_ROWS, wide_lookup
+from newsflow.plans.flow import Walk, records_of, walk, with_unmatched
+from newsflow.session import stage
 
 
 def feed_candidates(
@@ -47,30 +48,30 @@ def feed_candidates(
     )
     if seen is not None:
         listed = only_new(listed, seen, hot_rows=hot_rows)
-    landed = lookup_join(listed, pages, "url", "pos", hot_rows=hot_rows)
+    listed = stage(listed, "listed")
+    landed = wide_lookup(listed, pages, "url", "pos", hot_rows)
+    found = with_article(landed, "html", title_selector, content_selectors)
+    dated = F.col("published_at").isNotNull()
+    found = found.withColumn("published_at", parse_page_date(F.col("published_raw"), run_ts))
+    if raw:
+        body = raw_body_feed(F.when(dated, F.col("content")), F.col("html"))
+        found = found.withColumn("body", body)
+    has_page = ~is_missing(F.col("html"))
+    found = found.withColumn("has_page", has_page).drop("html", "published_raw", *(["content"] if raw else []))
 
-    html = F.col("html")
-    has_page = ~is_missing(html)
-    articles = with_article(landed, "html", title_selector, content_selectors)
-    extracted = articles.select(
-        *listed.columns,
-        F.coalesce("http_status", F.lit(0)).alias("http_status"),
-        has_page.alias("has_page"),
-        "page_title",
-        "content",
-        parse_page_date(F.col("published_raw"), run_ts).alias("published_at"),
-        *([F.col("html")] if raw else []),
-    )
-    title = chosen_title(F.col("page_title"), F.col("feed_title"))
+    every = with_unmatched(listed, stage(found, "pages"))
+    has_page = F.coalesce("has_page", F.lit(False))
+    status = F.coalesce("http_status", F.lit(0))
     if raw:
-        body = raw_body_feed(F.when(F.col("published_at").isNotNull(), F.col("content")), F.col("html"))
-        return extracted.select(
+        return every.select(
             "source", "pos", "url", F.col("feed_title").alias("title"), "feed_published", "canonical_key",
-            "http_status", "has_page", body.alias("body"), F.lit(True).alias("ok"),
+            status.alias("http_status"), has_page.alias("has_page"),
+            F.coalesce("body", F.lit("")).alias("body"), F.lit(True).alias("ok"),
         )
-    ok = F.col("has_page") & F.col("published_at").isNotNull() & is_http_url(F.col("url")) & title.isNotNull()
-    return extracted.select(
-        "source", "pos", "url", title.alias("title"), "canonical_key", "http_status",
+    title = chosen_title(F.col("page_title"), F.col("feed_title"))
+    ok = has_page & dated & is_http_url(F.col("url")) & title.isNotNull()
+    return every.select(
+        "source", "pos", "url", title.alias("title"), "canonical_key", status.alias("http_status"),
         "published_at", "content", ok.alias("ok"),
     )
 

@@ -42,18 +42,24 @@ def walk(
 ) -> Walk:
     """Decide every candidate (``source, canonical_key, pos, ok``): first-wins dedupe, then the quota.
 
-    Candidates are staged once, because page text is costly and several steps read them. The status
-    is worked out on four thin columns and joined back by position, so bodies are shuffled once.
+    ``candidates`` are staged already. The status is worked out on four thin columns and joined back by
+    position, which is unique, so bodies are shuffled once and evenly.
     """
-    staged = stage(candidates, "candidates")
-    thin = staged.select("source", "canonical_key", "pos", "ok")
+    thin = candidates.select("source", "canonical_key", "pos", "ok")
     decided = with_status(thin, hot_rows=hot_rows)
     if limit is not None:
         decided = take_successes(stage(decided, "status"), limit)
-    visited = staged.join(decided.select("pos", "status"), "pos")
+    visited = candidates.join(decided.select("pos", "status"), "pos")
     return Walk(visited, failed)
 
 
+def with_unmatched(listed: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` plus the listed rows it lacks, nulls in the columns they do not have. Both are staged."""
+    rest = listed.join(found.select("pos"), "pos", "left_anti")
+    shared = rest.select(*[c for c in rest.columns if c in found.columns])
+    return found.unionByName(shared, allowMissingColumns=True)
+
+
 def analyzed(
     articles: DataFrame,
     analyzer_factory: Callable | None = None,

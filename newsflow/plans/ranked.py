@@ -11,8 +11,9 @@ from newsflow.functions.times import epoch_to_utc, isoformat
 from newsflow.functions.urls import canonical_key, is_http_url
 from newsflow.operators.dedupe import only_new
 from newsflow.operators.records import chosen_content, is_missing, item_url, ranked_metadata, raw_records
-from newsflow.operators.skew import HOT_ROWS, lookup_join
-from newsflow.plans.flow import Walk, records_of, walk
+from newsflow.operators.skew import HOT_ROWS, wide_lookup
+from newsflow.plans.flow import Walk, records_of, walk, with_unmatched
+from newsflow.session import stage
 from newsflow.sources.readers import with_items
 
 
@@ -49,24 +50,25 @@ def ranked_candidates(
         F.when(item.isNotNull(), url).alias("url"),
         F.when(item.isNotNull(), canonical_key(url)).alias("canonical_key"),
     )
+    listed = stage(listed, "listed")
     if seen is not None:
-        listed = only_new(listed, seen, hot_rows=hot_rows)
-    looked_up = pages.withColumnRenamed("url", "page_url")
-    landed = lookup_join(listed, looked_up, "page_url", "pos", hot_rows=hot_rows)
-
+        listed = stage(only_new(listed, seen, hot_rows=hot_rows), "new")
     links_out = ~is_missing(F.col("page_url"))
-    content = chosen_content(F.col("page_url"), html_to_text(F.col("html")), F.col("item_text"))
-    body = F.coalesce(F.when(links_out, F.col("html")).otherwise(F.col("item_text")), F.lit(""))
-    texts = landed.select(
+    linked = listed.where(links_out).drop("item_text")
+    landed = wide_lookup(linked, pages.withColumnRenamed("url", "page_url"), "page_url", "pos", hot_rows)
+    found = landed.withColumn("page_text", html_to_text(F.col("html"))).withColumn("item_text", F.lit(None).cast("string"))
+    found = found if raw else found.drop("html")
+
+    every = with_unmatched(listed, stage(found, "pages"))
+    content = chosen_content(F.col("page_url"), F.col("page_text"), F.col("item_text"))
+    texts = every.select(
         "source", "pos", "id", "has_item", "title", "published_at", "raw_metadata", "url", "canonical_key",
         F.when(links_out, F.coalesce("http_status", F.lit(0))).otherwise(200).alias("http_status"),
         content.alias("content"),
-        *([body.alias("body")] if raw else []),
+        *([chosen_content(F.col("page_url"), F.col("html"), F.col("item_text")).alias("body")] if raw else []),
     )
     ok = F.col("has_item") & ~is_missing(F.col("content"))
-    if not raw:
-        ok = ok & is_http_url(F.col("url"))
-    return texts.withColumn("ok", ok)
+    return texts.withColumn("ok", ok if raw else ok & is_http_url(F.col("url")))
 
 
 def ranked_walk(ranked, items, pages, seen, run_ts, limit=None, raw=False, hot_rows=HOT_ROWS, **options) -> Walk:
