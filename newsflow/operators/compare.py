@@ -86,6 +86,10 @@ def comparison_summary(
         F.count("_r").alias("right_count"),
         F.count_if(F.col("_l") != F.col("_r")).alias("_differ"),
     )
+    return _verdict(counted)
+
+
+def _verdict(counted: DataFrame) -> DataFrame:
     same = F.col("left_count") == F.col("right_count")
     mismatches = F.when(same, F.col("_differ"))
     return counted.select(
@@ -173,6 +177,17 @@ def field_diff_keyed(a: DataFrame, b: DataFrame, key: str = "url", pos: str = "p
     return _explode_diffs(pairs, names, [key, "occurrence"])
 
 
+def _digest_counts(a: DataFrame, b: DataFrame, mode: str, exclude: tuple[str, ...]) -> DataFrame:
+    def side(df, left, right):
+        return df.select(
+            fingerprint(df, mode, exclude).alias("digest"), F.lit(left).alias("_l"), F.lit(right).alias("_r")
+        )
+
+    return side(a, 1, 0).union(side(b, 0, 1)).groupBy("digest").agg(
+        F.sum("_l").alias("left_count"), F.sum("_r").alias("right_count")
+    )
+
+
 def multiset_diff(a: DataFrame, b: DataFrame, mode: str = "full", exclude: tuple[str, ...] = ("pos",)) -> DataFrame:
     """``(digest, left_count, right_count)`` of records that do not occur equally often on both sides.
 
@@ -180,13 +195,17 @@ def multiset_diff(a: DataFrame, b: DataFrame, mode: str = "full", exclude: tuple
     still costs one row per task.
     """
 
-    def side(df, left, right):
-        return df.select(
-            fingerprint(df, mode, exclude).alias("digest"), F.lit(left).alias("_l"), F.lit(right).alias("_r")
-        )
+    counts = _digest_counts(*align(a, b), mode, exclude)
+    return counts.where(F.col("left_count") != F.col("right_count"))
+
 
+def content_summary(a: DataFrame, b: DataFrame, mode: str = "full", exclude: tuple[str, ...] = ("pos",)) -> DataFrame:
+    """The order-free verdict: one row like ``comparison_summary``, a mismatch being a left record too many."""
     a, b = align(a, b)
-    counts = side(a, 1, 0).union(side(b, 0, 1)).groupBy("digest").agg(
-        F.sum("_l").alias("left_count"), F.sum("_r").alias("right_count")
+    extra = F.greatest(F.col("left_count") - F.col("right_count"), F.lit(0))
+    counted = _digest_counts(a, b, mode, exclude).agg(
+        F.coalesce(F.sum("left_count"), F.lit(0)).alias("left_count"),
+        F.coalesce(F.sum("right_count"), F.lit(0)).alias("right_count"),
+        F.coalesce(F.sum(extra), F.lit(0)).alias("_differ"),
     )
-    return counts.where(F.col("left_count") != F.col("right_count"))
+    return _verdict(counted)

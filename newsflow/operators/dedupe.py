@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.operators.skew import HOT_ROWS, lookup_join
+from newsflow.operators.skew import HOT_ROWS, lookup_join, with_own_totals
 
 ACCEPTED, DUPLICATE, ERROR = "accepted", "duplicate", "error"
 
@@ -37,7 +37,7 @@ def new_keys(seen: DataFrame, df: DataFrame, key: str = "canonical_key") -> Data
 
 def _first_positions(df: DataFrame, key: str, pos: str, ok) -> DataFrame:
     return df.groupBy(key).agg(
-        F.min(F.when(ok, F.col(pos))).alias("_first"), F.count(F.lit(1)).alias("_n")
+        F.count(F.lit(1)).alias("_n"), F.min(F.when(ok, F.col(pos))).alias("_first")
     )
 
 
@@ -54,8 +54,7 @@ def with_status(
     first good position per key, so no group is sorted or gathered.
     """
     firsts = _first_positions(df, key, pos, F.col(ok))
-    counts = firsts.select(key, "_n")
-    joined = lookup_join(df, firsts.select(key, "_first"), key, pos, "left", counts, hot_rows)
+    joined = with_own_totals(df, firsts, key, pos, hot_rows)
     status = (
         F.when(F.col(pos) > F.col("_first"), DUPLICATE)
         .when(F.col(ok), ACCEPTED)
@@ -70,7 +69,6 @@ def with_duplicate_flag(
     """Add ``is_duplicate``: true from the second row of a key on; rows without a key are never flagged."""
     has_key = F.coalesce(F.col(key), F.lit("")) != ""
     firsts = _first_positions(df, key, pos, F.lit(True))
-    counts = firsts.select(key, "_n")
-    joined = lookup_join(df, firsts.select(key, "_first"), key, pos, "left", counts, hot_rows)
+    joined = with_own_totals(df, firsts, key, pos, hot_rows)
     late = F.coalesce(F.col(pos) > F.col("_first"), F.lit(False))
     return joined.withColumn("is_duplicate", has_key & late).drop("_first")

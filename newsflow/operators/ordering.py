@@ -6,21 +6,12 @@ every long, so each window below sees a bounded number of rows whatever the size
 the spread of its positions. Range and block totals are combined map-side.
 """
 
-import functools
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE_BITS = 21
 
 
-def _attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys``, where null equals null; ``right`` gives up its key columns."""
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
-    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys])
-
-
 def with_prior_count(
     df: DataFrame,
     pos: str,
@@ -33,34 +24,36 @@ def with_prior_count(
     """Add ``out``: how many rows of the group (with ``flag`` true) stand at smaller positions.
 
     ``below`` keeps only rows whose count is smaller; whole ranges past it are dropped before the
-    rows are sorted. ``df`` is read twice, so it should be a scan or a staged table.
+    rows are sorted. Rows are shuffled once, by group and range, for both the join and the window.
+    ``df`` is read twice, so it should be a scan or a staged table. A null group is a group.
     """
-    group = group or []
     one = F.lit(1) if flag is None else F.when(F.col(flag), 1).otherwise(0)
-    rows = df.withColumn("_range", F.shiftright(F.col(pos).cast("long"), bits))
+    keys = {}
+    for i, name in enumerate(group or []):
+        keys[f"_g{i}"] = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        keys[f"_null{i}"] = F.col(name).isNull()
+    rows = df.withColumns({**keys, "_range": F.shiftright(F.col(pos).cast("long"), bits)})
 
-    ranges = rows.groupBy(*group, "_range").agg(F.sum(one).alias("_n"))
+    ranges = rows.groupBy(*keys, "_range").agg(F.sum(one).alias("_n"))
     ranges = ranges.withColumn("_block", F.shiftright("_range", bits))
-    blocks = ranges.groupBy(*group, "_block").agg(F.sum("_n").alias("_n"))
+    blocks = ranges.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"))
 
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    in_group = before.partitionBy(*(group or [F.lit(0)])).orderBy("_block")
-    in_block = before.partitionBy(*group, "_block").orderBy("_range")
-    blocks = blocks.select(
-        *group, "_block", F.coalesce(F.sum("_n").over(in_group), F.lit(0)).alias("_block_base")
-    )
-    ranges = ranges.select(
-        *group, "_block", "_range", F.coalesce(F.sum("_n").over(in_block), F.lit(0)).alias("_range_base")
-    )
-    bases = _attach(ranges, blocks, [*group, "_block"]).select(
-        *group, "_range", (F.col("_range_base") + F.col("_block_base")).alias("_base")
+
+    def running(partition, order):
+        return F.coalesce(F.sum("_n").over(before.partitionBy(*partition).orderBy(order)), F.lit(0))
+
+    blocks = blocks.select(*keys, "_block", running(keys or [F.lit(0)], "_block").alias("_block_base"))
+    ranges = ranges.select(*keys, "_block", "_range", running([*keys, "_block"], "_range").alias("_range_base"))
+    bases = ranges.join(blocks, [*keys, "_block"]).select(
+        *keys, "_range", (F.col("_range_base") + F.col("_block_base")).alias("_base")
     )
 
-    rows = _attach(rows, bases, [*group, "_range"])
+    rows = rows.join(bases, [*keys, "_range"])
     if below is not None:
         rows = rows.where(F.col("_base") < below)
-    in_range = before.partitionBy(*group, "_range").orderBy(pos)
-    rows = rows.withColumn(
-        out, F.col("_base") + F.coalesce(F.sum(one).over(in_range), F.lit(0))
-    ).drop("_range", "_base")
-    return rows if below is None else rows.where(F.col(out) < below)
+    in_range = before.partitionBy(*keys, "_range").orderBy(pos)
+    counted = rows.select(
+        *df.columns, (F.col("_base") + F.coalesce(F.sum(one).over(in_range), F.lit(0))).alias(out)
+    )
+    return counted if below is None else counted.where(F.col(out) < below)

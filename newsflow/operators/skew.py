@@ -71,6 +71,32 @@ def lookup_join(
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
+def with_own_totals(
+    df: DataFrame, totals: DataFrame, key: str, spread: str | Column, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Give each row the totals of its key; ``totals`` is ``df`` aggregated by ``key``, with row count ``_n``.
+
+    Rows of hot keys take their totals from the broadcast list and only have to be spread; all other keys
+    meet their totals in the shuffle join. Both uses read the same columns of ``totals``, so Spark
+    aggregates once. Null keys get nulls.
+    """
+    values = [c for c in totals.columns if c not in (key, "_n")]
+    hot = totals.where((F.col("_n") > hot_rows) & F.col(key).isNotNull()).orderBy(F.desc("_n"), key).limit(MAX_HOT_KEYS)
+    hot = hot.select(key, F.col("_n").alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    marked = df.join(F.broadcast(hot), key, "left")
+    is_hot = F.col("_hot").isNotNull()
+    marked = marked.withColumn("_cold", F.when(~is_hot, F.col(key))).withColumn(
+        "_salt", F.when(F.col("_cold").isNull(), F.pmod(F.xxhash64(spread), F.lit(MAX_SALTS))).otherwise(0)
+    )
+    # pmod(_n, 1) is a zero the optimizer cannot fold out of the join keys
+    own = totals.select(
+        F.col(key).alias("_cold"), F.pmod("_n", F.lit(1).cast("long")).alias("_salt"), *values
+    )
+    joined = marked.join(own, ["_cold", "_salt"], "left")
+    picked = [F.when(is_hot, F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in values]
+    return joined.select(*df.columns, *picked)
+
+
 def data_size(df: DataFrame) -> int:
     """Upper estimate of the bytes in ``df``: text lengths plus a fixed share per field. One small job."""
     text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() == "string"]

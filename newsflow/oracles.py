@@ -311,6 +311,7 @@ SELECT pos, k AS canonical_key, ok, status FROM status""",
     "seen_flag": f"WITH {ENTRIES} SELECT pos, canonical_key, canonical_key IN (SELECT k FROM seen) AS is_processed FROM keyed",
     "seen_union": f"WITH {ENTRIES} SELECT k AS canonical_key FROM seen UNION SELECT canonical_key FROM keyed",
     "mark_processed": f"WITH {ENTRIES} SELECT k AS canonical_key FROM seen UNION SELECT canonical_key FROM keyed",
+    "seen_scan": f"WITH {ENTRIES} SELECT DISTINCT canonical_key FROM keyed",
     "success_quota": f"WITH {DOC_CAND}, {STATUS}, {visited(30)} SELECT source, pos, status FROM visited",
     "run_counters": f"""
 WITH {DOC_CAND}, {STATUS}, {visited(30)}
@@ -413,6 +414,11 @@ both_sides AS (
   SELECT sha256(to_json({{'lang': lang, 'source': source, 'text': text}})::VARCHAR), 0, 1 FROM rb)
 SELECT digest, sum(l)::BIGINT AS left_count, sum(r)::BIGINT AS right_count FROM both_sides
 GROUP BY digest HAVING sum(l) <> sum(r)""",
+    "compare_content_verdict": f"""
+WITH {RUNS},
+gone AS (SELECT text, lang, source FROM ra EXCEPT ALL SELECT text, lang, source FROM rb)
+SELECT (SELECT count(*) FROM ra) AS left_count, (SELECT count(*) FROM rb) AS right_count,
+       count(*) AS mismatches, count(*) = 0 AS identical FROM gone""",
     "field_diff": f"""
 WITH {RUNS},
 na AS (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS i FROM ra),

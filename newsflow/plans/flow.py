@@ -1,5 +1,6 @@
 """The part both sources share: status, quota, analysis, records, tables."""
 
+import contextlib
 import dataclasses
 import datetime as dt
 from collections.abc import Callable
@@ -9,14 +10,17 @@ from pyspark.sql import functions as F
 
 from newsflow.constants import UNKNOWN_MODEL
 from newsflow.functions.times import isoformat, run_time
-from newsflow.operators.dedupe import ACCEPTED, with_status
+from newsflow.functions.urls import canonical_key
+from newsflow.operators.dedupe import ACCEPTED, union_keys, with_status
 from newsflow.operators.enrich import analyze, attach_analysis, build_prompt, output_records, prompt_date
 from newsflow.operators.ordering import with_prior_count
 from newsflow.operators.quota import run_counters, take_successes
 from newsflow.operators.records import to_json_record
 from newsflow.operators.skew import HOT_ROWS
+from newsflow.schemas import RAW_RECORD
 from newsflow.session import stage
-from newsflow.sources.sinks import FAILED, SUCCESS, ArticleTable, append_jsonl, finish_run, start_run
+from newsflow.sources.readers import read_jsonl_batches
+from newsflow.sources.sinks import FAILED, SUCCESS, ArticleTable, finish_run, start_run, write_jsonl_batch
 
 CARRIED = ("canonical_key", "pos")
 
@@ -87,6 +91,25 @@ def article_rows(records: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return rows.withColumn("inserted_at", isoformat(run_time(run_ts)))
 
 
+@contextlib.contextmanager
+def recorded(spark: SparkSession, ledger: str, source: str, batch: int, run_ts: dt.datetime):
+    """Ledger rows around a run; the body yields its ``Walk`` to ``done``. Failures are recorded and raised.
+
+    The run id is the batch number, so a replay writes the same run again. Two numbers reach the driver.
+    """
+    run_id = f"{source}-{batch}"
+    start_run(spark, ledger, run_id, source, run_ts)
+    finished: list[Walk] = []
+    try:
+        yield finished.append
+        counts = finished[0].counters.first()
+        processed, errors = (counts.items_processed, counts.errors) if counts else (0, 0)
+        finish_run(spark, ledger, run_id, source, run_ts, SUCCESS, processed, errors)
+    except Exception:
+        finish_run(spark, ledger, run_id, source, run_ts, FAILED, 0, 0)
+        raise
+
+
 def save_run(
     spark: SparkSession,
     make_walk: Callable[[DataFrame], Walk],
@@ -98,28 +121,42 @@ def save_run(
     run_ts: dt.datetime,
     jsonl: str | None = None,
 ) -> None:
-    """One run end to end: ledger row, walk, article batch, optional JSON lines, final ledger row.
+    """One run end to end: walk, article batch, optional v2.0 JSON lines, ledger.
 
-    ``make_walk`` gets the keys of earlier batches. Two numbers per source reach the driver. The run id is the batch number, so a replay rewrites the
-    same batch and the same run. A failure is written to the ledger and raised.
+    ``make_walk`` gets the keys of earlier batches. Everything is written under the batch number, so
+    that a replay replaces its own output.
     """
-    run_id = f"{source}-{batch}"
-    start_run(spark, ledger, run_id, source, run_ts)
-    try:
+    with recorded(spark, ledger, source, batch, run_ts) as done:
         known = table.read(before_batch=batch)
-        done = make_walk(known.select("canonical_key"))
-        records = stage(make_records(done), "records")
+        walked = make_walk(known.select("canonical_key"))
+        records = stage(make_records(walked), "records")
         top = F.coalesce(known.agg(F.max("id")).scalar(), F.lit(0))
         numbered = with_prior_count(article_rows(records, run_ts), "pos", out="_rank")
         table.append(numbered.withColumn("id", top + F.col("_rank") + 1), batch)
         if jsonl:
-            append_jsonl(records.drop(*CARRIED), jsonl)
-        counts = done.counters.first()
-        processed, errors = (counts.items_processed, counts.errors) if counts else (0, 0)
-        finish_run(spark, ledger, run_id, source, run_ts, SUCCESS, processed, errors)
-    except Exception:
-        finish_run(spark, ledger, run_id, source, run_ts, FAILED, 0, 0)
-        raise
+            write_jsonl_batch(records.drop(*CARRIED), jsonl, batch)
+        done(walked)
+
+
+def save_raw_run(
+    spark: SparkSession,
+    make_walk: Callable[[DataFrame], Walk],
+    make_records: Callable[[Walk], DataFrame],
+    table: ArticleTable,
+    jsonl: str,
+    ledger: str,
+    source: str,
+    batch: int,
+    run_ts: dt.datetime,
+) -> None:
+    """A raw run: v1.0 JSON lines only. Keys in the article table and in earlier raw batches are skipped."""
+    with recorded(spark, ledger, source, batch, run_ts) as done:
+        earlier = read_jsonl_batches(spark, jsonl, RAW_RECORD).where(F.col("batch") < batch)
+        raw_keys = earlier.select(canonical_key(F.col("url")).alias("canonical_key"))
+        known = table.read(before_batch=batch)
+        walked = make_walk(union_keys(known, raw_keys))
+        write_jsonl_batch(make_records(walked).drop(*CARRIED), jsonl, batch)
+        done(walked)
 
 
 def records_of(

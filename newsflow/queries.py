@@ -384,6 +384,13 @@ def document_walk(documents):
     return stage(dedupe.with_status(rows), "status")
 
 
+@given("pages")
+def seen_scan(spark, pages):
+    path = scratch_path(spark, "hashes")
+    page_entries(pages).select(F.array("canonical_key").alias("hashes")).write.json(path)
+    return readers.read_seen(spark, path)
+
+
 @given("documents")
 def success_quota(spark, documents):
     visited = quota.take_successes(document_walk(documents), QUOTA)
@@ -553,6 +560,11 @@ def compare_multiset(spark, documents):
     return compare.multiset_diff(*two_runs(documents))
 
 
+@given("documents")
+def compare_content_verdict(spark, documents):
+    return compare.content_summary(*two_runs(documents))
+
+
 @given("documents")
 def field_diff(spark, documents):
     return compare.field_diff_positional(*two_runs(documents))

@@ -34,7 +34,18 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, quarantine:
     if quarantine:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    # folder names such as batch=3 are not part of the record
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path).select(schema.fieldNames())
+
+
+def read_jsonl_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records written batch by batch, with their ``batch``; none if nothing was written yet."""
+    return read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("batch", T.LongType())]), "json")
+
+
+def with_positions(df: DataFrame, name: str = "pos") -> DataFrame:
+    """Number the rows in scan order; meant for one file, straight after the scan."""
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def read_feed(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:

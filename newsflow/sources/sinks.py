@@ -23,6 +23,11 @@ def append_jsonl(df: DataFrame, path: str, by_source: bool = False) -> None:
     (writer.partitionBy("_source") if by_source else writer).json(path)
 
 
+def write_jsonl_batch(df: DataFrame, path: str, batch: int) -> None:
+    """Records of one run as JSON lines in a folder of their own; writing the batch again replaces it."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/batch={batch}")
+
+
 def mark_processed(spark: SparkSession, path: str, df: DataFrame, key: str = "canonical_key") -> None:
     """Add the keys of ``df`` to the seen table; keys already there are not written again."""
     seen = read_or_empty(spark, path, SEEN_KEYS)

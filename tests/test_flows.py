@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.functions.urls import canonical_key
-from newsflow.operators import enrich
+from newsflow import runs
+from newsflow.operators import compare, enrich
 from newsflow.plans.feed import feed_raw_records, feed_records, feed_walk
 from newsflow.plans.ranked import ranked_records, ranked_walk
 from newsflow.schemas import ARTICLES, FEED_ENTRY, LANDED_PAGE, OUTPUT_RECORD, RAW_RECORD, STORY_ITEM, schema
@@ -303,8 +304,8 @@ def test_stream_runs_and_replay(spark, tmp_path):
 
     write(entries.where("feed_pos >= 3"), 1)  # the second batch is delivered again
     assert sorted(table.read().collect(), key=lambda r: r.id) == after
-    runs = {r.run_id: (r.status, r.items_processed, r.errors) for r in sinks.read_runs(spark, ledger).collect()}
-    assert runs == {"techcrunch-0": ("success", 1, 1), "techcrunch-1": ("success", 3, 2)}
+    finished = {r.run_id: (r.status, r.items_processed, r.errors) for r in sinks.read_runs(spark, ledger).collect()}
+    assert finished == {"techcrunch-0": ("success", 1, 1), "techcrunch-1": ("success", 3, 2)}
     assert table.read().columns == ARTICLES.fieldNames()
 
 
@@ -330,3 +331,53 @@ def test_ranked_stream_batch(spark, tmp_path):
     rows = sorted(table.read().collect(), key=lambda r: r.id)
     assert [(r.id, r.company, r.funding_amount) for r in rows] == [(i, "Test Corp", "$5M") for i in (1, 2, 3)]
     assert set(json.loads(rows[0].raw_data)) == set(OUTPUT_RECORD.fieldNames())
+
+
+def test_whole_feed_runs(spark, tmp_path):
+    _, pages, _ = feed_case(spark)
+    pages.write.parquet(str(tmp_path / "pages"))
+    items = "".join(
+        f"<item><title>T{i}</title><link>https://e.com/{i}</link></item>\n" for i in (1, 2, 5, 6)
+    )
+    (tmp_path / "feed.xml").write_text(f"<rss><channel>{items}</channel></rss>")
+    table, ledger = sinks.ArticleTable(spark, str(tmp_path / "articles")), str(tmp_path / "runs")
+    where = (spark, str(tmp_path / "feed.xml"), str(tmp_path / "pages"), table, ledger)
+    raw_out, out = str(tmp_path / "raw"), str(tmp_path / "out")
+
+    runs.ingest_feed(*where, batch=0, run_ts=RUN, limit=2, output=raw_out, raw=True)
+    runs.ingest_feed(*where, batch=1, run_ts=RUN, limit=2, output=raw_out, raw=True)
+    raw = readers.read_jsonl_batches(spark, raw_out, RAW_RECORD).orderBy("batch", "url").collect()
+    assert [(r.batch, r.url[-1], r.http_status) for r in raw] == [(0, "1", 200), (0, "2", 404), (1, "5", 200), (1, "6", 200)]
+    assert runs.audit_jsonl(spark, raw_out, RAW_RECORD).first().passed
+    assert table.read().count() == 0
+
+    runs.ingest_feed(*where, batch=2, run_ts=RUN, limit=2, output=out)
+    again = sinks.ArticleTable(spark, str(tmp_path / "again"))
+    runs.ingest_feed(*where[:3], again, ledger, batch=3, run_ts=RUN + dt.timedelta(days=1), limit=2, output=out + "2")
+    assert [r.title for r in table.read().orderBy("id").collect()] == ["Head 1", "Head 5"]
+    # both runs looked at the same entries; published_at falls back to the run time, so it differs
+    verdict = runs.compare_jsonl(spark, out, out + "2").first()
+    assert (verdict.left_count, verdict.mismatches) == (2, 2)
+    assert runs.compare_jsonl(spark, out, out + "2", by_position=True).first().mismatches == 2
+    same = compare.content_summary(
+        *[readers.read_jsonl(spark, p, OUTPUT_RECORD).drop("published_at") for p in (out, out + "2")]
+    ).first()
+    assert same.identical
+    finished = {r.run_id: (r.status, r.items_processed, r.errors) for r in sinks.read_runs(spark, ledger).collect()}
+    assert finished["techcrunch-0"] == ("success", 2, 1) and finished["techcrunch-2"] == ("success", 2, 1)
+
+
+def test_whole_ranked_runs(spark, tmp_path):
+    ranked, items, pages, _ = ranked_case(spark)
+    pages.write.parquet(str(tmp_path / "pages"))
+    items.write.json(str(tmp_path / "items"))
+    (tmp_path / "ids.json").write_text(json.dumps({"ids": list(range(1, 9))}))
+    table, ledger = sinks.ArticleTable(spark, str(tmp_path / "articles")), str(tmp_path / "runs")
+    where = (spark, str(tmp_path / "ids.json"), str(tmp_path / "items"), str(tmp_path / "pages"), table, ledger)
+    runs.ingest_ranked(*where, batch=0, run_ts=RUN, limit=2, output=str(tmp_path / "raw"), raw=True)
+    raw = readers.read_jsonl_batches(spark, str(tmp_path / "raw"), RAW_RECORD).orderBy("published_at").collect()
+    assert [(r.title, r.raw_text_preview, r.http_status) for r in raw] == [
+        ("New AI model", "<p>page 1</p>", 200), ("Ask: is AI done?", "<p>item text", 200)
+    ]
+    runs.ingest_ranked(*where, batch=1, run_ts=RUN, limit=4)
+    assert [r.title for r in table.read().orderBy("id").collect()] == ["New AI model", "Ask: is AI done?", "GPT known"]
