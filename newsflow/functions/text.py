@@ -45,19 +45,10 @@ COMMON_REFERENCES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
-    ("&apos;", "'"),
     ("&#39;", "'"),
     ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&hellip;", "…"),
+    ("&copy;", "\u00a9"),
+    ("&middot;", "\u00b7"),
     ("&amp;", "&"),
 )
 _COMMON_NAMES = "|".join(re.escape(ref[1:]) for ref, _ in COMMON_REFERENCES)
@@ -90,11 +81,9 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
 
-def _close_up(text: Column, mark: str, repl: str, merge: bool) -> Column:
-    """Replace each ``mark`` and the white space around it by ``repl``."""
-    here = f"[{_SPACE_SET}{mark}]"
-    tail = here if merge else SPACE
-    return F.regexp_replace(text, rf"(?={here})(?<!{SPACE}){SPACE}*+{mark}{tail}*+", repl)
+def _join_pieces(text: Column) -> Column:
+    """Pieces between marks, each trimmed, put together without a separator."""
+    return F.array_join(F.transform(F.split(text, MARK), strip), "")
 
 
 def is_topic(
@@ -122,8 +111,7 @@ def html_to_text(page: Column) -> Column:
 
 def strip_join(fragment: Column) -> Column:
     """Text pieces of a fragment, each trimmed, joined without a separator."""
-    text = decode_references(F.regexp_replace(fragment, MARKUP, MARK), fragment)
-    return strip(_close_up(text, MARK, "", merge=True))
+    return _join_pieces(decode_references(F.regexp_replace(fragment, MARKUP, MARK), fragment))
 
 
 def _open_tag(tag: str, css_class: str | None) -> str:
@@ -181,10 +169,9 @@ def paragraphs(block: Column) -> Column:
     p_open = r"<[pP](?=[\s>/])"
     text = F.regexp_replace(block, INVISIBLE, MARK)
     text = F.regexp_replace(text, rf"(?s)(?:\A|</[pP]\s*+>).*?(?={p_open}|\z)", "")
-    text = F.regexp_replace(text, rf"{p_open}[^>]*+>", PARAGRAPH)
+    text = F.regexp_replace(text, rf"{p_open}[^>]*+>", MARK + PARAGRAPH + MARK)
     text = decode_references(F.regexp_replace(text, TAG, MARK), block)
-    text = _close_up(text, MARK, "", merge=True)
-    text = strip(_close_up(text, PARAGRAPH, PARAGRAPH, merge=False))
+    text = _join_pieces(text)
     return F.replace(F.substring(text, F.lit(2), F.length(text)), F.lit(PARAGRAPH), F.lit("\n\n"))
 
 
@@ -192,7 +179,6 @@ def meta_published(page: Column) -> Column:
     """Raw text of the published-time meta tag, empty when there is none."""
     tag = (
         r"""(?s)<(?i:meta)(?=\s[^>]*?(?<=[\s"'])(?i:property)\s*=\s*["']?article:published_time["'\s/>])"""
-        r"""(?=\s[^>]*?(?<=[\s"'])(?i:content)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))"""
+        r"""(?=\s[^>]*?(?<=[\s"'])(?i:content)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))"""
     )
-    groups = [F.regexp_extract(page, tag, i) for i in (1, 2, 3)]
-    return F.concat(*groups)
+    return F.regexp_replace(F.regexp_extract(page, tag, 1), r"""\A["']|["']\z""", "")
