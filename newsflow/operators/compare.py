@@ -154,12 +154,9 @@ def field_diff_keyed(a: DataFrame, b: DataFrame, key: str = "url", pos: str = "p
     names = _fields(a.columns, "full", (pos, key))
 
     def side(df, prefix):
-        numbered = with_prior_count(df.select(pos, key), pos, [key], out="occurrence")
-        thin = df.select(pos, fingerprint(df, "full", (pos,)).alias(f"{prefix}digest"))
-        return numbered.join(thin, pos).select(
-            F.col(key).alias(f"{prefix}key"), F.col("occurrence").alias(f"{prefix}occ"),
-            F.col(pos).alias(f"{prefix}pos"), f"{prefix}digest",
-        )
+        thin = df.select(pos, key, fingerprint(df, "full", (pos,)).alias("digest"))
+        numbered = with_prior_count(thin, pos, [key], out="occ").withColumnRenamed(key, "key")
+        return numbered.select(*[F.col(c).alias(prefix + c.replace(pos, "pos")) for c in ("key", "occ", pos, "digest")])
 
     left, right = side(a, "_l_"), side(b, "_r_")
     matched = left.join(

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsflow.operators.skew import lookup_join
 from newsflow.schemas import LANDED_PAGE, SEEN_FILE, SEEN_KEYS, STORY_ITEM
 from newsflow.schemas import schema as schema_of
 
@@ -98,8 +99,6 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 def with_items(ranked: DataFrame, items: DataFrame, spread: str = "pos", **kw) -> DataFrame:
     """Add ``item`` (struct, null if there is none) to each ranked id; ``items`` has one row per id."""
-    from newsflow.operators.skew import lookup_join
-
     fields = [F.col(c) for c in items.columns if c != "id"]
     looked_up = items.select("id", F.struct(*fields).alias("item"))
     return lookup_join(ranked, looked_up, "id", spread, **kw)
@@ -126,8 +125,9 @@ def newest_pages(pages: DataFrame, landed_at: str) -> DataFrame:
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
-    """Seen keys from ``{"hashes": [...]}`` JSON. Absent means none; a corrupt file is an error, because
-    silently starting over would process everything again."""
+    """Seen keys from ``{"hashes": [...]}`` JSON, any number of objects. Absent means none; a corrupt file
+    is an error, because silently starting over would process everything again. One object is read by one
+    task, so keep large sets in the table that ``mark_processed`` writes."""
     try:
         scanned = spark.read.schema(SEEN_FILE).option("mode", "FAILFAST").json(path)
     except AnalysisException as error:
