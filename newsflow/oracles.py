@@ -23,7 +23,8 @@ def _nest(value, *calls):
 
 def decode(value):
     pairs = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("middot", "·"), ("nbsp", "\u00a0"), ("amp", "&"))
-    return _nest(value, *[f"replace($, '&{name};', '{char}')" for name, char in pairs])
+    # these names also count when the semicolon is missing, as in text that was cut
+    return _nest(value, *[f"regexp_replace($, '&{name};?', '{char}', 'g')" for name, char in pairs])
 
 
 def trim(value):
