@@ -10,7 +10,7 @@ from newsflow.functions import text, times, urls
 from newsflow.operators import audit, compare, dedupe, enrich, quota, records, upsert, validate
 from newsflow.operators.extract import with_article
 from newsflow.plans import feed, ranked
-from newsflow.schemas import ANALYSIS, ARTICLES, OUTPUT_RECORD, RAW_RECORD, STORY_ITEM
+from newsflow.schemas import ANALYSIS, ARTICLES, RAW_RECORD, STORY_ITEM
 from newsflow.session import scratch_path, stage
 from newsflow.sources import readers, sinks
 from newsflow.streaming import ingest

@@ -45,7 +45,7 @@ def read_jsonl_batches(spark: SparkSession, path: str, schema: T.StructType) ->
 
 
 def with_positions(df: DataFrame, name: str = "pos") -> DataFrame:
-    """Number the rows in scan order; meant for one file, straight after the scan."""
+    """Number the rows in scan order (increasing, with gaps); meant for one file, straight after the scan."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
