@@ -2,8 +2,10 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, neardup
+from newsflow.llm import bpe, langid, neardup, quality
+from newsflow.llm.common import remainder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    machine = quality.fit(documents, table(spark, sf_dir, "labels"))
+    return quality.score(documents, machine).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
+@query
+def op6_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return langid.identify(documents, langid.fit(documents)).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 @query
 def op8_hyperminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, threshold=85)
