@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, langid, neardup, quality
+from newsflow.llm import bpe, chat, langid, license, neardup, packing, quality
 from newsflow.llm.common import remainder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_prefix_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_conversations(turns))
+
+
+ORACLES["op1_prefix_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+marked AS (
+  SELECT *, 15 + length(role) + length(text) + 2 * length(role || text)
+    - length(replace(role || text, '\', '')) - length(replace(role || text, '#', ''))
+    + length(role) - length(replace(role, ':', ''))
+    + (length(text) - length(replace(text, '</', ''))) // 2 + (length(role) - length(replace(role, '</', ''))) // 2 AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars, false AS rewrites
+FROM marked GROUP BY conv_id
+""".replace("\\\\", "\\")
+
+
 @query
 def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -31,6 +61,13 @@ def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_fuzzy_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 @query
 def op6_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -71,6 +108,11 @@ JOIN (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u) USING (d
 """
 
 
+@query
+def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.load_vocabulary(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
