@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, chat, langid, license, neardup, packing, quality
+from newsflow.llm import ann, bpe, chat, kdtree, langid, license, neardup, packing, quality, reputation
 from newsflow.llm.common import remainder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,11 @@ FROM marked GROUP BY conv_id
 """.replace("\\\\", "\\")
 
 
+@query
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -61,6 +66,23 @@ def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_kdtree_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op4_kdtree_inner_product"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op5_fuzzy_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents")).select(
@@ -76,6 +98,53 @@ def op6_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judge(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict", "n_outcomes"
+    )
+
+
+ORACLES["op7_host_reputation"] = """
+WITH placed AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM placed),
+marked AS (SELECT *, CASE WHEN rule IS NOT NULL THEN CAST(rule NOT IN ('org/', 'com/fr/') AS INTEGER) END AS bad FROM ruled),
+hosts AS (
+  SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+    count(bad) AS n, coalesce(sum(bad), 0) AS bad
+  FROM marked GROUP BY host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
+s0 AS (SELECT *, (sum(bad) OVER () + 1) / (sum(n) OVER () + 2) AS m FROM suffixes),
+sr AS (SELECT (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0) AS r FROM s0 WHERE n > 0),
+sk AS (SELECT CASE WHEN r > 0 THEN greatest(least(1 / r - 1, 1000.0), 1.0) ELSE 1000.0 END AS k FROM sr),
+s1 AS (SELECT suffix, (bad + k * m) / (n + k) AS mean FROM s0, sk),
+d0 AS (SELECT d.*, s1.mean AS m FROM domains d JOIN s1 USING (suffix)),
+dr AS (SELECT (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0) AS r FROM d0 WHERE n > 0),
+dk AS (SELECT CASE WHEN r > 0 THEN greatest(least(1 / r - 1, 1000.0), 1.0) ELSE 1000.0 END AS k FROM dr),
+d1 AS (SELECT domain, (bad + k * m) / (n + k) AS mean FROM d0, dk),
+h0 AS (SELECT h.*, d1.mean AS m FROM hosts h JOIN d1 USING (domain)),
+hr AS (SELECT (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0) AS r FROM h0 WHERE n > 0),
+hk AS (SELECT CASE WHEN r > 0 THEN greatest(least(1 / r - 1, 1000.0), 1.0) ELSE 1000.0 END AS k FROM hr),
+h1 AS (SELECT host, n, (bad + k * m) / (n + k) AS mean, n + k AS total FROM h0, hk),
+h2 AS (SELECT host, n, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.5 AS blocked FROM h1)
+SELECT page_id, m.host, path, rule, h2.n AS n_outcomes,
+  CASE WHEN rule IS NULL THEN CASE WHEN blocked THEN 'block' ELSE 'allow' END WHEN bad = 1 THEN 'block' ELSE 'allow' END AS verdict
+FROM marked m JOIN h2 USING (host)
+"""
+
+
 @query
 def op8_hyperminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, threshold=85)
