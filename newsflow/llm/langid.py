@@ -2,8 +2,8 @@
 
 A text becomes the TF-IDF vector of its byte n-grams (1 to 4 bytes of the lower-cased text, hashed), scaled to
 length 1. Each language has several centroids, found by spherical k-means, and a text gets the language of the
-centroid with the greatest cosine. A text is rejected when its distance (1 - cosine) is greater than any that
-texts of about its length had from their own language when learning, with a margin.
+centroid with the greatest cosine. A text is rejected when its distance (1 - cosine) exceeds what nine tenths of
+the learning texts of about its length have from their own language by more than a margin.
 
 Document frequencies are counted over all learning rows. Centroids and distances come from a sample of at most
 ``2 * per_language`` rows of each language, chosen by a hash of the id. What is broadcast is bounded by
@@ -24,7 +24,9 @@ ORDERS = (1, 2, 3, 4)
 CENTROIDS = 4
 PER_LANGUAGE = 1_000
 MAX_LANGUAGES = 500
-MARGIN = 0.15
+MARGIN = 0.3
+USUAL = 0.9
+FEWEST = 20
 LENGTH_STEPS = 24
 UNKNOWN = "und"
 DIGITS_AND_ASCII_MARKS = bytes(32 if i < 97 and not 65 <= i <= 90 or 90 < i < 97 or 122 < i < 128 else i for i in range(256))
@@ -172,7 +174,7 @@ def fit(
     rows = np.frombuffer(b"".join(sample["vector"].to_pylist()), dtype=np.float32).reshape(-1, BUCKETS)
 
     rng = np.random.default_rng(11)
-    found, owner, far = [], [], np.zeros(LENGTH_STEPS)
+    found, owner, distances, steps = [], [], [], []
     for i, name in enumerate(languages):
         own = rows[lang == name][: 2 * per_language]
         if not len(own):
@@ -180,10 +182,16 @@ def fit(
         centre = clustered(own.copy(), centroids, rng)
         found.append(centre)
         owner += [i] * len(centre)
-        distance = 1 - (own @ centre.T).max(1)
-        np.maximum.at(far, step[lang == name][: 2 * per_language], distance)
-    # a shorter text may lie as far out as a longer one; texts shorter than any seen are not judged, longer ones
-    # are judged like the longest seen
+        distances.append(1 - (own @ centre.T).max(1))
+        steps.append(step[lang == name][: 2 * per_language])
+    far = np.zeros(LENGTH_STEPS)
+    if found:
+        distance, at = np.concatenate(distances), np.concatenate(steps)
+        for s in range(LENGTH_STEPS):
+            if (at == s).sum() >= FEWEST:
+                far[s] = max(1e-6, np.quantile(distance[at == s], USUAL))
+    # a shorter text may lie as far out as a longer one; texts shorter than those often seen are not judged,
+    # longer ones are judged like the longest
     limits = np.maximum.accumulate(far[::-1])[::-1] + MARGIN
     seen = np.flatnonzero(far)
     limits[: seen[0] if len(seen) else LENGTH_STEPS] = 1.0

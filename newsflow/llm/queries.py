@@ -126,18 +126,18 @@ hosts AS (
   FROM marked GROUP BY host),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
-s0 AS (SELECT *, (sum(bad) OVER () + 1) / (sum(n) OVER () + 2) AS m FROM suffixes),
+s0 AS (SELECT *, (sum(bad) OVER () + 1) / (sum(n) OVER () + 2) AS m, sum(n) OVER () + 2 AS w FROM suffixes),
 sr AS (SELECT (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0) AS r FROM s0 WHERE n > 0),
 sk AS (SELECT CASE WHEN r > 0 THEN greatest(least(1 / r - 1, 1000.0), 1.0) ELSE 1000.0 END AS k FROM sr),
-s1 AS (SELECT suffix, (bad + k * m) / (n + k) AS mean FROM s0, sk),
-d0 AS (SELECT d.*, s1.mean AS m FROM domains d JOIN s1 USING (suffix)),
+s1 AS (SELECT suffix, (bad + least(k, w) * m) / (n + least(k, w)) AS mean, n + least(k, w) AS w FROM s0, sk),
+d0 AS (SELECT d.*, s1.mean AS m, s1.w FROM domains d JOIN s1 USING (suffix)),
 dr AS (SELECT (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0) AS r FROM d0 WHERE n > 0),
 dk AS (SELECT CASE WHEN r > 0 THEN greatest(least(1 / r - 1, 1000.0), 1.0) ELSE 1000.0 END AS k FROM dr),
-d1 AS (SELECT domain, (bad + k * m) / (n + k) AS mean FROM d0, dk),
-h0 AS (SELECT h.*, d1.mean AS m FROM hosts h JOIN d1 USING (domain)),
+d1 AS (SELECT domain, (bad + least(k, w) * m) / (n + least(k, w)) AS mean, n + least(k, w) AS w FROM d0, dk),
+h0 AS (SELECT h.*, d1.mean AS m, d1.w FROM hosts h JOIN d1 USING (domain)),
 hr AS (SELECT (sum(n * pow(bad / n - m, 2)) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0) AS r FROM h0 WHERE n > 0),
 hk AS (SELECT CASE WHEN r > 0 THEN greatest(least(1 / r - 1, 1000.0), 1.0) ELSE 1000.0 END AS k FROM hr),
-h1 AS (SELECT host, n, (bad + k * m) / (n + k) AS mean, n + k AS total FROM h0, hk),
+h1 AS (SELECT host, n, (bad + least(k, w) * m) / (n + least(k, w)) AS mean, n + least(k, w) AS total FROM h0, hk),
 h2 AS (SELECT host, n, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.5 AS blocked FROM h1)
 SELECT page_id, m.host, path, rule, h2.n AS n_outcomes,
   CASE WHEN rule IS NULL THEN CASE WHEN blocked THEN 'block' ELSE 'allow' END WHEN bad = 1 THEN 'block' ELSE 'allow' END AS verdict

@@ -76,11 +76,18 @@ def _strength(groups: DataFrame, prior: str) -> DataFrame:
     return groups.where(n > 0).agg(strength.alias("strength"))
 
 
-def _shrunk(groups: DataFrame, prior: str, mean: str, strength: str) -> DataFrame:
-    """Add the posterior mean of each group and the strength of its prior. The strength is one row, broadcast."""
-    one = _strength(groups, prior).withColumnRenamed("strength", strength).withColumn("_one", F.lit(1))
-    joined = groups.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one", "left").drop("_one")
-    return joined.withColumn(mean, (F.col("bad") + F.col(strength) * F.col(prior)) / (F.col("n") + F.col(strength)))
+def _shrunk(groups: DataFrame, prior: str, prior_weight: str, mean: str, weight: str) -> DataFrame:
+    """Add the posterior mean of each group and its weight (outcomes plus prior strength), given those of the parent.
+
+    A prior is never stronger than the evidence behind the parent's mean. The strength is a scalar subquery.
+    """
+    k = F.least(_strength(groups, prior).scalar(), prior_weight)
+    return groups.withColumn("_k", k).withColumns(
+        {
+            mean: (F.col("bad") + F.col("_k") * F.col(prior)) / (F.col("n") + F.col("_k")),
+            weight: F.col("n") + F.col("_k"),
+        }
+    ).drop("_k")
 
 
 def host_reputation(hosts: DataFrame, z: float = Z, limit: float = LIMIT) -> DataFrame:
@@ -94,18 +101,17 @@ def host_reputation(hosts: DataFrame, z: float = Z, limit: float = LIMIT) -> Dat
     )
     domains = placed.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    overall = suffixes.agg(
-        ((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("overall")
-    ).withColumn("_one", F.lit(1))
-
-    suffixes = suffixes.withColumn("_one", F.lit(1)).join(F.broadcast(overall), "_one", "left").drop("_one")
-    suffixes = _shrunk(suffixes, "overall", "suffix_mean", "_k")
-    domains = domains.join(suffixes.select("suffix", "suffix_mean"), "suffix")
-    domains = _shrunk(domains, "suffix_mean", "domain_mean", "_k")
-    found = placed.join(domains.select("domain", "domain_mean"), "domain")
-    found = _shrunk(found, "domain_mean", "mean", "_k")
-    total = F.col("n") + F.col("_k")
-    bound = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))
+    n, bad = F.coalesce(F.sum("n"), F.lit(0)) + 2, F.coalesce(F.sum("bad"), F.lit(0)) + 1
+    overall = suffixes.agg(F.struct((bad / n).alias("mean"), n.cast("double").alias("weight"))).scalar()
+    suffixes = suffixes.withColumn("_all", overall).select(
+        "*", F.col("_all.mean").alias("all_mean"), F.col("_all.weight").alias("all_weight")
+    )
+    suffixes = _shrunk(suffixes, "all_mean", "all_weight", "suffix_mean", "suffix_weight")
+    domains = domains.join(suffixes.select("suffix", "suffix_mean", "suffix_weight"), "suffix")
+    domains = _shrunk(domains, "suffix_mean", "suffix_weight", "domain_mean", "domain_weight")
+    found = placed.join(domains.select("domain", "domain_mean", "domain_weight"), "domain")
+    found = _shrunk(found, "domain_mean", "domain_weight", "mean", "weight")
+    bound = F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return found.select("host", "n", "bad", "mean", bound.alias("bound"), (bound > limit).alias("blocked"))
 
 

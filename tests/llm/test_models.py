@@ -1,0 +1,96 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from newsflow.llm import langid, quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_machine_equals_all_pairs():
+    rng = np.random.default_rng(0)
+    machine = quality.Machine(0.3, rng.normal(size=(quality.N_FEATURES, 1 + quality.FACTORS)))
+    texts, recorded = ["A few words. And words!!", "", "one\ntwo | three"], [24, None, -5]
+    ids, values, starts = quality.features(texts, recorded)
+    ends = [*starts[1:], len(ids)]
+    for i, (a, b) in enumerate(zip(starts, ends, strict=True)):
+        w, x = machine.weights[ids[a:b]], values[a:b]
+        pairs = sum(w[p, 1:] @ w[q, 1:] * x[p] * x[q] for p in range(b - a) for q in range(p))
+        want = machine.bias + w[:, 0] @ x + pairs
+        assert np.isclose(machine.margins(ids, values, starts)[i], want)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def test_quality_on_held_out_rows(spark, documents):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    machine = quality.fit(documents, labels)
+    scored = {r.doc_id: r for r in quality.score(documents, machine).collect()}
+    assert len(scored) == documents.count()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in scored.values())
+    held = [r for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert np.mean([scored[r.doc_id].predicted == r.quality for r in held]) > 0.95
+    # what the folds hold out does not change the fit
+    flipped = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality")
+    assert np.array_equal(quality.fit(documents, flipped).weights, machine.weights)
+
+
+def test_quality_of_odd_rows(spark, documents):
+    labels = spark.createDataFrame([(None, 1), (1, None), (2, 7), (1, 1), (2, 0), (2, 1)], "doc_id long, quality int")
+    machine = quality.fit(documents, labels)
+    docs = spark.createDataFrame(
+        [(1, None, None, "a"), (1, "", -3, "b"), (None, "x" * 100_000, 5, None), (2, "w " * 50_000, None, "c")],
+        "doc_id long, text string, n_chars long, score string",
+    )
+    assert [0 <= r.score <= 1 for r in quality.score(docs, machine).collect()] == [True] * 4
+    assert quality.score(docs.limit(0), machine).count() == 0
+    assert quality.score(docs.drop("n_chars"), machine).count() == 4
+    assert quality.keep_good(docs, machine, threshold=0.0).collect() == docs.collect()
+    assert quality.keep_good(docs, machine, threshold=1.1).count() == 0
+    none = quality.fit(docs.limit(0), labels.limit(0))
+    assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
+
+
+def test_language_on_held_out_rows(spark, documents):
+    model = langid.fit(documents)
+    found = {r.doc_id: r for r in langid.identify(documents, model).collect()}
+    rows = documents.collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert np.mean([found[r.doc_id].lang_pred == r.lang for r in held]) > 0.98
+    assert np.mean([r.rejected for r in found.values()]) < 0.01
+    kept = langid.keep_identified(documents, model)
+    assert kept.columns == documents.columns
+    assert kept.count() == sum(not r.rejected for r in found.values())
+
+
+def test_language_of_odd_rows(spark, documents):
+    model = langid.fit(documents)
+    prose = " ".join(r.text for r in documents.where("lang = 'en'").orderBy("doc_id").limit(100).collect())
+    texts = [None, "", "123 !?", "a", prose, "中文试验" * 200]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, "der die das", "y")], "doc_id long, text string, lang_pred string")
+    found = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert [found[i].lang_pred for i in range(3)] == ["und"] * 3
+    assert all(found[i].rejected and found[i].score == 0 for i in range(3))
+    assert found[3].lang_pred != "und" and not found[4].rejected
+    assert found[5].rejected and found[5].lang_pred in model.languages
+    assert langid.identify(docs.limit(0), model).count() == 0
+    blank = langid.fit(documents.limit(0))
+    assert {r.lang_pred for r in langid.identify(docs, blank).collect()} == {"und"}
+
+
+def test_nearest_centroid_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    idf = rng.random(langid.BUCKETS)
+    centres = rng.random((5, langid.BUCKETS)).astype(np.float32)
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    model = langid.Model(["a", "b"], idf, centres, np.array([0, 0, 1, 1, 1]), np.ones(langid.LENGTH_STEPS))
+    texts = ["some text", "andere texte hier", "q"]
+    best, cosine = model.nearest(texts)
+    for i, text in enumerate(texts):
+        own = [float(langid.vector(langid.counts(text), idf) @ c) for c in centres]
+        assert np.isclose(max(own), cosine[i], atol=1e-5)
+        assert best[i] == [0, 0, 1, 1, 1][int(np.argmax(own))]

@@ -1,0 +1,62 @@
+import itertools
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from newsflow.llm import packing
+
+
+def cost(lengths, counts, ends):
+    total, start = 0, 0
+    for e in ends:
+        total += lengths[e] * counts[start : e + 1].sum()
+        start = e + 1
+    return total
+
+
+def test_boundaries_are_optimal():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        n, buckets = rng.integers(1, 11), rng.integers(1, 5)
+        lengths = np.sort(rng.choice(200, n, replace=False))
+        counts = rng.integers(1, 50, n)
+        ends, total = packing.optimal_boundaries(lengths, counts, int(buckets))
+        best = min(
+            cost(lengths, counts, [*cut, n - 1])
+            for k in range(min(buckets, n))
+            for cut in itertools.combinations(range(n - 1), k)
+        )
+        assert total == best == cost(lengths, counts, ends)
+    assert packing.optimal_boundaries(np.array([]), np.array([]), 4) == ([], 0)
+
+
+def test_batches_keep_the_budget(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame(
+        [(None, None), (-1, ""), (-1, ""), (-2, "w " * 30_000), (-3, " \n"), (None, "a b c")], "doc_id long, text string"
+    )
+    rows = docs.unionByName(odd).withColumn("bucket", F.lit("clash"))
+    got = packing.pack(rows, buckets=8, token_budget=4096).collect()
+    assert len(got) == rows.count()
+    words = {r.doc_id: len((r.text or "").split()) for r in docs.collect()}
+    batches = {}
+    for r in got:
+        assert r.n_tokens <= r.bucket_tokens
+        if r.doc_id is not None and r.doc_id >= 0:
+            assert r.n_tokens == words[r.doc_id]
+        batches.setdefault((r.bucket, r.bucket_tokens, r.batch), []).append(r.place)
+    assert len({b for b, *_ in batches}) <= 8
+    for (_, tokens, _), places in batches.items():
+        assert sorted(places) == list(range(len(places)))
+        assert len(places) == 1 or len(places) * tokens <= 4096
+    # all batches of a bucket but its last are full
+    for bucket, tokens in {(b, t) for b, t, _ in batches}:
+        full = max(1, 4096 // max(1, tokens))
+        sizes = [len(batches[bucket, tokens, i]) for i in range(sum(1 for b, *_ in batches if b == bucket))]
+        assert all(s == full for s in sizes[:-1]) and sizes[-1] <= full
+    lengths = sorted(r.n_tokens for r in got)
+    values, counts = np.unique(lengths, return_counts=True)
+    cells = len({r.bucket for r in got})
+    assert cells == 8
+    assert sum(r.bucket_tokens for r in got) <= packing.optimal_boundaries(values, counts, 8)[1] * 1.02
+    assert packing.pack(rows.limit(0)).count() == 0
