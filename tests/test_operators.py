@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsflow.operators import audit, compare, dedupe, quota, records, upsert, validate
 from newsflow.operators.ordering import with_prior_count
-from newsflow.operators.skew import lookup_join
+from newsflow.operators.skew import hot_keys, key_counts, lookup_join, wide_lookup
 from newsflow.schemas import OUTPUT_RECORD
 
 
@@ -82,6 +82,28 @@ def test_lookup_join_any_skew(spark, how):
         assert sorted(got.collect(), key=repr) == sorted(plain.collect(), key=repr)
 
 
+def test_more_hot_keys_than_are_listed(spark):
+    """Every hot key is split, however many there are, by broadcast and by join."""
+    left = spark.range(60_000).select(F.col("id").alias("pos"), F.concat(F.lit("k"), F.col("id") % 1500).alias("k"))
+    left = left.unionByName(spark.range(200).select((-F.col("id") - 1).alias("pos"), F.lit(None).cast("string").alias("k")))
+    right = spark.range(1500).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"))
+    hot = hot_keys(key_counts(left, "k"), "k", 10)
+    assert hot.count() == 1500 and hot.where("_salts <> 4").count() == 0
+    want = sorted(left.join(right, "k", "left").select("pos", "k", "v").collect(), key=repr)
+    for listed_keys in (10, 100_000):
+        got = lookup_join(left, right, "k", "pos", hot_rows=10, listed_keys=listed_keys).select("pos", "k", "v")
+        assert sorted(got.collect(), key=repr) == want
+
+
+def test_both_ways_of_a_wide_lookup_agree(spark):
+    rows = [(1, "a"), (2, "a"), (3, None), (4, "b"), (5, "c"), (5, "c")]
+    left = spark.createDataFrame(rows, "pos long, url string")
+    right = spark.createDataFrame([("a", "x", 200), ("c", "y", 404), (None, "z", 0)], "url string, html string, http_status int")
+    small, large = wide_lookup(left, right, "url", "pos"), wide_lookup(left, right, "url", "pos", broadcast_bytes=0)
+    assert small.columns == large.columns == ["pos", "url", "html", "http_status"]
+    assert sorted(small.collect()) == sorted(large.collect()) and small.count() == 4
+
+
 def test_hot_keys_are_spread(spark):
     """With one key holding a third of the rows, no join task gets all of them."""
     left = spark.range(3000).select(

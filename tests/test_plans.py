@@ -40,10 +40,9 @@ def staged(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def test_status_spreads_rows_and_aggregates_once(staged, no_auto_broadcast):
+def test_status_spreads_null_keys_and_needs_no_window(staged, no_auto_broadcast):
     text = plan(dedupe.with_status(staged.drop("text")))
-    assert "ReusedExchange" in text
-    assert re.search(r"hashpartitioning\(_cold#\d+, _salt#\d+L, 8\)", text)
+    assert re.search(r"hashpartitioning\(canonical_key#\d+, _salt#\d+L, 8\)", text)
     assert "Window" not in text and "text:string" not in text
 
 
