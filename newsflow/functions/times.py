@@ -25,12 +25,24 @@ PAGE_FORMATS = FEED_FORMATS + (
     "yyyyMMdd'T'HHmmssX",
     "yyyyMMdd'T'HHmmss",
     "yyyyMMdd",
+    "MMM d yyyy HH:mm:ss",
+    "MMM d yyyy",
+    "MMMM d yyyy",
+    "MMM d HH:mm:ss yyyy",
+    "d-MMM-yyyy",
+    "yyyy.M.d",
 )
+TIME_ONLY = r"\A\d{1,2}:\d{2}(?::\d{2})?\z"
+
+
+def utc(ts: dt.datetime) -> dt.datetime:
+    """A naive clock value read as UTC, whatever the zone of the driver."""
+    return ts if ts.tzinfo else ts.replace(tzinfo=dt.UTC)
 
 
 def run_time(run_ts: dt.datetime) -> Column:
     """One clock value per run, so that a re-run or a lost task writes the same rows."""
-    return F.lit(run_ts).cast("timestamp")
+    return F.lit(utc(run_ts)).cast("timestamp")
 
 
 def epoch_to_utc(seconds: Column, run_ts: dt.datetime) -> Column:
@@ -49,9 +61,12 @@ def isoformat(ts: Column) -> Column:
 def _parse(text: Column, formats: tuple[str, ...]) -> Column:
     trimmed = F.trim(text)
     no_weekday = F.regexp_replace(trimmed, r"(?i)\A(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    plain = F.regexp_replace(F.regexp_replace(no_weekday, r"(?i)(?<=\d)(?:st|nd|rd|th)\b", ""), r"\s+", " ")
+    # without a year the cast would take the date from the clock of the executor
+    dated = F.when(trimmed.rlike(r"\A[+-]?\d{4}"), trimmed)
     return F.coalesce(
-        F.try_to_timestamp(trimmed),
-        *[F.try_to_timestamp(no_weekday, F.lit(f)) for f in formats],
+        F.try_to_timestamp(dated),
+        *[F.try_to_timestamp(plain, F.lit(f)) for f in formats],
     )
 
 
@@ -61,6 +76,13 @@ def parse_feed_date(text: Column) -> Column:
 
 
 def parse_page_date(text: Column, run_ts: dt.datetime) -> Column:
-    """Published time of a page: absent text means the run time, unreadable text means null."""
+    """Published time of a page: absent text means the run time, unreadable text means null.
+
+    A bare time of day belongs to the date of the run.
+    """
     absent = F.coalesce(text, F.lit("")) == ""
-    return F.when(absent, run_time(run_ts)).otherwise(_parse(text, PAGE_FORMATS))
+    day = utc(run_ts).astimezone(dt.UTC).strftime("%Y-%m-%d ")
+    timed = F.when(F.trim(text).rlike(TIME_ONLY), F.concat(F.lit(day), F.trim(text)))
+    return F.when(absent, run_time(run_ts)).otherwise(
+        F.coalesce(F.try_to_timestamp(timed), _parse(text, PAGE_FORMATS))
+    )

@@ -267,8 +267,8 @@ SELECT '2.0' AS schema_version, d.source, {LINE1} AS title,
        strftime({DOC_TIME}, '%Y-%m-%dT%H:%M:%S') AS published_at,
        CASE WHEN f.quality = 1 THEN 'Company ' || f.doc_id END AS company,
        NULL::VARCHAR AS funding_amount,
-       CASE WHEN f.toxic = 1 THEN 'Seed' END AS funding_stage,
-       CASE WHEN f.h IS NULL THEN '' ELSE f.lang || '|VC A' END AS investors,
+       CASE WHEN f.toxic = 1 THEN 'Bridge' END AS funding_stage,
+       CASE WHEN f.h IS NULL THEN '' ELSE f.lang || '|Quay Fund' END AS investors,
        CASE WHEN f.h IS NULL THEN {NO_ANALYSIS} ELSE 'quality ' || f.quality END AS summary,
        coalesce(f.quality = 1, false) AS investment_relevant,
        CASE WHEN f.h IS NULL THEN 'other' WHEN f.toxic = 1 THEN 'funding' ELSE 'partnership' END AS event_type,

@@ -18,7 +18,7 @@ from newsflow.operators.records import (
     raw_records,
 )
 from newsflow.operators.skew import HOT_ROWS, wide_lookup
-from newsflow.plans.flow import Walk, records_of, walk, with_unmatched
+from newsflow.plans.flow import Walk, fold_copies, in_order, records_of, walk, with_landing_time, with_unmatched
 from newsflow.session import stage
 
 
@@ -35,21 +35,22 @@ def feed_candidates(
 ) -> DataFrame:
     """Every new entry with its extracted article and ``ok``.
 
-    Known keys are dropped before pages are joined, so their bodies are neither moved nor parsed.
+    Known keys are dropped before pages are joined, so their bodies are neither moved nor parsed. Entries are
+    walked by ``feed_file`` (if given) and ``feed_pos``, which may repeat. A page that landed twice counts once.
     In raw mode every entry is ok; otherwise the page must have a body, a readable date and a usable URL.
     """
     listed = entries.select(
         F.lit(source).alias("source"),
-        F.col("feed_pos").alias("pos"),
+        *[c for c in ("feed_file", "feed_pos") if c in entries.columns],
         F.col("link").alias("url"),
         F.col("title").alias("feed_title"),
         F.col("published").alias("feed_published"),
         canonical_key(F.col("link")).alias("canonical_key"),
     )
+    listed = in_order(listed, "feed_file", "feed_pos")
     if seen is not None:
-        listed = only_new(listed, seen, hot_rows=hot_rows)
-    listed = stage(listed, "listed")
-    landed = wide_lookup(listed, pages, "url", "pos", hot_rows)
+        listed = stage(only_new(listed, seen, hot_rows=hot_rows), "new")
+    landed = wide_lookup(listed, with_landing_time(pages), "url", "pos", hot_rows)
     found = with_article(landed, "html", title_selector, content_selectors)
     dated = F.col("published_at").isNotNull()
     found = found.withColumn("published_at", parse_page_date(F.col("published_raw"), run_ts))
@@ -59,7 +60,7 @@ def feed_candidates(
     has_page = ~is_missing(F.col("html"))
     found = found.withColumn("has_page", has_page).drop("html", "published_raw", *(["content"] if raw else []))
 
-    every = with_unmatched(listed, stage(found, "pages"))
+    every = with_unmatched(listed, fold_copies(stage(found, "pages")))
     has_page = F.coalesce("has_page", F.lit(False))
     status = F.coalesce("http_status", F.lit(0))
     if raw:

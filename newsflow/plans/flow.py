@@ -20,7 +20,15 @@ from newsflow.operators.skew import HOT_ROWS
 from newsflow.schemas import RAW_RECORD
 from newsflow.session import stage
 from newsflow.sources.readers import read_jsonl_batches
-from newsflow.sources.sinks import FAILED, SUCCESS, ArticleTable, finish_run, start_run, write_jsonl_batch
+from newsflow.sources.sinks import (
+    FAILED,
+    SUCCESS,
+    ArticleTable,
+    before_run,
+    finish_run,
+    start_run,
+    write_jsonl_batch,
+)
 
 CARRIED = ("canonical_key", "pos")
 
@@ -57,6 +65,35 @@ def walk(
     return Walk(visited, failed)
 
 
+def in_order(listed: DataFrame, *order: str) -> DataFrame:
+    """``listed`` with ``pos``, a number that is unique and follows ``order``, then all other columns; staged.
+
+    Positions that several files or lists count on their own give the order; identity is given here, once.
+    """
+    present = [c for c in order if c in listed.columns]
+    rest = [c for c in listed.columns if c not in present]
+    placed = listed.orderBy(*present, *rest).withColumn("_id", F.monotonically_increasing_id())
+    return stage(placed.drop("pos", *order).withColumnRenamed("_id", "pos"), "listed")
+
+
+def fold_copies(found: DataFrame, landed_at: str = "landed_at") -> DataFrame:
+    """One row per ``pos`` of a staged look-up result: what landed last, ties by the values themselves.
+
+    A page or item may have landed more than once. Rows are moved only if one did.
+    """
+    rest = [c for c in found.columns if c not in ("pos", landed_at)]
+    if not found.groupBy("pos").count().where("count > 1").limit(1).collect():
+        return found.select("pos", *rest)
+    newest = found.groupBy("pos").agg(F.max(F.struct(landed_at, *rest)).alias("_newest"))
+    return newest.select("pos", *[F.col(f"_newest.{c}").alias(c) for c in rest])
+
+
+def with_landing_time(landed: DataFrame) -> DataFrame:
+    if "landed_at" in landed.columns:
+        return landed
+    return landed.withColumn("landed_at", F.lit(None).cast("timestamp"))
+
+
 def with_unmatched(listed: DataFrame, found: DataFrame) -> DataFrame:
     """``found`` plus the listed rows it lacks, nulls in the columns they do not have. Both are staged."""
     rest = listed.join(found.select("pos"), "pos", "left_anti")
@@ -95,7 +132,8 @@ def article_rows(records: DataFrame, run_ts: dt.datetime) -> DataFrame:
 def recorded(spark: SparkSession, ledger: str, source: str, batch: int, run_ts: dt.datetime):
     """Ledger rows around a run; the body yields its ``Walk`` to ``done``. Failures are recorded and raised.
 
-    The run id is the batch number, so a replay writes the same run again. Two numbers reach the driver.
+    The run id is the source and batch number, so a replay writes the same run again. A run starts at its run
+    time and ends when it ends, so that a retry stands behind what it retries. Two numbers reach the driver.
     """
     run_id = f"{source}-{batch}"
     start_run(spark, ledger, run_id, source, run_ts)
@@ -104,9 +142,9 @@ def recorded(spark: SparkSession, ledger: str, source: str, batch: int, run_ts:
         yield finished.append
         counts = finished[0].counters.first()
         processed, errors = (counts.items_processed, counts.errors) if counts else (0, 0)
-        finish_run(spark, ledger, run_id, source, run_ts, SUCCESS, processed, errors)
+        finish_run(spark, ledger, run_id, source, dt.datetime.now(dt.UTC), SUCCESS, processed, errors)
     except Exception:
-        finish_run(spark, ledger, run_id, source, run_ts, FAILED, 0, 0)
+        finish_run(spark, ledger, run_id, source, dt.datetime.now(dt.UTC), FAILED, 0, 0)
         raise
 
 
@@ -127,14 +165,14 @@ def save_run(
     that a replay replaces its own output.
     """
     with recorded(spark, ledger, source, batch, run_ts) as done:
-        known = table.read(before_batch=batch)
+        known = table.read(before=(source, batch))
         walked = make_walk(known.select("canonical_key"))
         records = stage(make_records(walked), "records")
         top = F.coalesce(known.agg(F.max("id")).scalar(), F.lit(0))
         numbered = with_prior_count(article_rows(records, run_ts), "pos", out="_rank")
-        table.append(numbered.withColumn("id", top + F.col("_rank") + 1), batch)
+        table.append(numbered.withColumn("id", top + F.col("_rank") + 1), source, batch)
         if jsonl:
-            write_jsonl_batch(records.drop(*CARRIED), jsonl, batch)
+            write_jsonl_batch(records.drop(*CARRIED), jsonl, source, batch)
         done(walked)
 
 
@@ -151,11 +189,11 @@ def save_raw_run(
 ) -> None:
     """A raw run: v1.0 JSON lines only. Keys in the article table and in earlier raw batches are skipped."""
     with recorded(spark, ledger, source, batch, run_ts) as done:
-        earlier = read_jsonl_batches(spark, jsonl, RAW_RECORD).where(F.col("batch") < batch)
+        earlier = before_run(read_jsonl_batches(spark, jsonl, RAW_RECORD), source, batch)
         raw_keys = earlier.select(canonical_key(F.col("url")).alias("canonical_key"))
-        known = table.read(before_batch=batch)
+        known = table.read(before=(source, batch))
         walked = make_walk(union_keys(known, raw_keys))
-        write_jsonl_batch(make_records(walked).drop(*CARRIED), jsonl, batch)
+        write_jsonl_batch(make_records(walked).drop(*CARRIED), jsonl, source, batch)
         done(walked)
 
 

@@ -12,7 +12,7 @@ from newsflow.functions.urls import canonical_key, is_http_url
 from newsflow.operators.dedupe import only_new
 from newsflow.operators.records import chosen_content, is_missing, item_url, ranked_metadata, raw_records
 from newsflow.operators.skew import HOT_ROWS, wide_lookup
-from newsflow.plans.flow import Walk, records_of, walk, with_unmatched
+from newsflow.plans.flow import Walk, fold_copies, in_order, records_of, walk, with_landing_time, with_unmatched
 from newsflow.session import stage
 from newsflow.sources.readers import with_items
 
@@ -30,11 +30,18 @@ def ranked_candidates(
 ) -> DataFrame:
     """Every ranked id ``(pos, id)`` that is an error or a new item on topic, with content and ``ok``.
 
+    Ids are walked by ``list`` (if given) and ``pos``, which may repeat. Items and pages that landed more than
+    once count once.
+
     The topic filter stands before the key look-up, and both before any page is joined or parsed. An id
     without an item stays as an error row; items off topic and known keys leave without a trace.
     """
-    found = with_items(ranked, items, "pos", hot_rows=hot_rows)
+    columns = [c for c in ("list", "pos", "id") if c in ranked.columns]
+    ranked = in_order(ranked.select(*[F.col(c).alias("_pos" if c == "pos" else c) for c in columns]), "list", "_pos")
     item = F.col("item")
+    found = with_items(ranked, items, "pos", hot_rows=hot_rows)
+    landed_at = item["landed_at"] if "landed_at" in items.columns else F.lit(None).cast("timestamp")
+    found = fold_copies(stage(found.withColumn("landed_at", landed_at), "items"))
     topical = found.where(item.isNull() | is_topic(item["title"]))
     url = item_url(item["url"], F.col("id"), item_page)
     listed = topical.select(
@@ -55,11 +62,12 @@ def ranked_candidates(
         listed = stage(only_new(listed, seen, hot_rows=hot_rows), "new")
     links_out = ~is_missing(F.col("page_url"))
     linked = listed.where(links_out).drop("item_text")
-    landed = wide_lookup(linked, pages.withColumnRenamed("url", "page_url"), "page_url", "pos", hot_rows)
+    bodies = with_landing_time(pages).withColumnRenamed("url", "page_url")
+    landed = wide_lookup(linked, bodies, "page_url", "pos", hot_rows)
     found = landed.withColumn("page_text", html_to_text(F.col("html"))).withColumn("item_text", F.lit(None).cast("string"))
     found = found if raw else found.drop("html")
 
-    every = with_unmatched(listed, stage(found, "pages"))
+    every = with_unmatched(listed, fold_copies(stage(found, "pages")))
     content = chosen_content(F.col("page_url"), F.col("page_text"), F.col("item_text"))
     texts = every.select(
         "source", "pos", "id", "has_item", "title", "published_at", "raw_metadata", "url", "canonical_key",

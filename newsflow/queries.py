@@ -15,7 +15,7 @@ from newsflow.session import scratch_path, stage
 from newsflow.sources import readers, sinks
 from newsflow.streaming import ingest
 
-RUN_TS = dt.datetime(2026, 1, 1)
+RUN_TS = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
 TITLE = ("h1", None)
 CONTENT = (("article", None),)
 QUOTA = 30
@@ -202,8 +202,8 @@ def stored_results(documents, labels):
     fields = {
         "company": F.when(q == 1, F.concat(F.lit("Company "), F.col("p.doc_id"))),
         "funding_amount": F.lit(None).cast("string"),
-        "funding_stage": F.when(toxic == 1, F.lit("Seed")),
-        "investors": F.array(F.col("p.lang"), F.lit("VC A")),
+        "funding_stage": F.when(toxic == 1, F.lit("Bridge")),
+        "investors": F.array(F.col("p.lang"), F.lit("Quay Fund")),
         "summary": F.concat(F.lit("quality "), q),
         "investment_relevant": q == 1,
         "event_type": F.when(toxic == 1, "funding").otherwise("partnership"),
@@ -268,7 +268,7 @@ def keyword_analyzer():
             "summary": f"{len(prompt)} characters",
             "investment_relevant": " the " in prompt,
             "event_type": "funding" if " of " in prompt else "other",
-            "investors": ["VC A"],
+            "investors": ["Quay Fund"],
         }
 
     return analyze

@@ -70,7 +70,8 @@ def ingest_ranked(
     ``limit`` caps accepted articles; twice as many ids are checked, to leave room for the topic filter.
     """
     lists = readers.read_jsonl(spark, ids, RANKED_IDS)
-    ranked = readers.ranked_ids(lists, limit * RANKED_OVERFETCH).withColumnRenamed("rank", "pos")
+    lists = readers.with_positions(lists, "list")
+    ranked = readers.ranked_ids(lists, limit * RANKED_OVERFETCH, keep=("list",)).withColumnRenamed("rank", "pos")
     looked_up, landed = readers.read_items(spark, items), readers.read_pages(spark, pages)
 
     def run(seen):

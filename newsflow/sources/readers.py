@@ -40,8 +40,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, quarantine:
 
 
 def read_jsonl_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records written batch by batch, with their ``batch``; none if nothing was written yet."""
-    return read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("batch", T.LongType())]), "json")
+    """Records written batch by batch, with their ``run_source`` and ``batch``; none if nothing was written yet."""
+    folder = [T.StructField("run_source", T.StringType()), T.StructField("batch", T.LongType())]
+    return read_or_empty(spark, path, T.StructType([*schema.fields, *folder]), "json")
 
 
 def with_positions(df: DataFrame, name: str = "pos") -> DataFrame:
@@ -92,9 +93,13 @@ def ranked_ids(df: DataFrame, limit: int, ids: str | Column = "ids", keep: tuple
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Story items, one JSON object per line; a ``null`` line or a bad line is no item."""
+    """Story items, one JSON object per line; a ``null`` line or a bad line is no item.
+
+    An id may have landed more than once; ``landed_at`` is the time of its file.
+    """
     scanned = read_jsonl(spark, path, STORY_ITEM, quarantine=True)
-    return scanned.where(F.col("id").isNotNull()).drop(CORRUPT)
+    timed = scanned.withColumn("landed_at", F.col("_metadata.file_modification_time"))
+    return timed.where(F.col("id").isNotNull()).drop(CORRUPT)
 
 
 def with_items(ranked: DataFrame, items: DataFrame, spread: str = "pos", **kw) -> DataFrame:
@@ -105,16 +110,21 @@ def with_items(ranked: DataFrame, items: DataFrame, spread: str = "pos", **kw) -
 
 
 def landed_pages(df: DataFrame) -> DataFrame:
-    """``(url, html, http_status)``; a landing without status counts as 200 if it has a body, else 0."""
+    """``(url, html, http_status)`` and ``landed_at`` if it is there. A landing without status counts as 200 if
+    it has a body, else 0."""
     if "http_status" not in df.columns:
         has_body = F.coalesce(F.col("html"), F.lit("")) != ""
         df = df.withColumn("http_status", F.when(has_body, 200).otherwise(0))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in LANDED_PAGE])
+    landed_at = [F.col("landed_at").cast("timestamp")] if "landed_at" in df.columns else []
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in LANDED_PAGE], *landed_at)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages, one row per URL (see ``newest_pages``)."""
-    return landed_pages(spark.read.parquet(path))
+    """Landed pages. A URL may have landed more than once; without a ``landed_at`` the time of its file counts."""
+    landed = spark.read.parquet(path)
+    if "landed_at" not in landed.columns:
+        landed = landed.withColumn("landed_at", F.col("_metadata.file_modification_time"))
+    return landed_pages(landed)
 
 
 def newest_pages(pages: DataFrame, landed_at: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Writes: JSON lines, article table versions, seen keys, run ledger."""
 
 import datetime as dt
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.functions.times import isoformat
+from newsflow.functions.times import isoformat, utc
 from newsflow.operators.dedupe import new_keys
 from newsflow.schemas import ARTICLES, RUN_EVENTS, SEEN_KEYS
 from newsflow.schemas import schema as schema_of
@@ -23,9 +24,20 @@ def append_jsonl(df: DataFrame, path: str, by_source: bool = False) -> None:
     (writer.partitionBy("_source") if by_source else writer).json(path)
 
 
-def write_jsonl_batch(df: DataFrame, path: str, batch: int) -> None:
+def batch_folder(source: str, batch: int) -> str:
+    """Folder of one run of one source; sources number their batches independently."""
+    return f"run_source={quote(source, safe='')}/batch={batch}"
+
+
+def write_jsonl_batch(df: DataFrame, path: str, source: str, batch: int) -> None:
     """Records of one run as JSON lines in a folder of their own; writing the batch again replaces it."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/batch={batch}")
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{batch_folder(source, batch)}")
+
+
+def before_run(rows: DataFrame, source: str, batch: int) -> DataFrame:
+    """Rows of all runs but this one and later ones of the same source (columns ``run_source``, ``batch``)."""
+    own = (F.col("run_source") == source) & (F.col("batch") >= batch)
+    return rows.where(~F.coalesce(own, F.lit(False)))
 
 
 def mark_processed(spark: SparkSession, path: str, df: DataFrame, key: str = "canonical_key") -> None:
@@ -36,13 +48,16 @@ def mark_processed(spark: SparkSession, path: str, df: DataFrame, key: str = "ca
 
 
 class ArticleTable:
-    """Article rows under ``path/version=V/batch=B``.
+    """Article rows under ``path/version=V/run_source=S/batch=B``.
 
-    A run adds one batch folder. Writing a batch again replaces it, so a replayed run or micro-batch
-    changes nothing. ``rewrite`` stores an upserted table as the next version and switches to it; the
-    version being read is never touched. The list of versions lies next to the data.
+    A run adds one batch folder of its source. Writing a batch again replaces it, so a replayed run or
+    micro-batch changes nothing, and sources may share batch numbers. ``rewrite`` stores an upserted table as
+    the base of the next version, a folder that no source and batch name, and switches to it; the version
+    being read is never touched. The list of versions lies next to the data.
     """
 
+    BASE = ""
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType = ARTICLES):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self._commits = f"{self.path}.versions"
@@ -54,24 +69,28 @@ class ArticleTable:
     def _folder(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
-    def read(self, before_batch: int | None = None) -> DataFrame:
-        """Current rows; ``before_batch`` leaves out that batch and later ones."""
-        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
-        rows = read_or_empty(self.spark, self._folder(self.version()), schema)
-        if before_batch is not None:
-            rows = rows.where(F.col("batch") < before_batch)
-        return rows.drop("batch")
-
-    def append(self, rows: DataFrame, batch: int) -> None:
-        """Write one batch of rows with new keys."""
+    def read(self, before: tuple[str, int] | None = None) -> DataFrame:
+        """Current rows; ``before=(source, batch)`` leaves out that batch and later ones of the same source."""
+        folder = [T.StructField("run_source", T.StringType()), T.StructField("batch", T.LongType())]
+        rows = read_or_empty(self.spark, self._folder(self.version()), T.StructType([*self.schema.fields, *folder]))
+        if before is not None:
+            rows = before_run(rows, *before)
+        return rows.drop("run_source", "batch")
+
+    def append(self, rows: DataFrame, source: str, batch: int) -> None:
+        """Write one batch of a source: rows with new keys."""
+        if source == self.BASE or batch < 0:
+            raise ValueError("a run needs a source and a batch number from 0")
+        self._write(rows, f"{self._folder(self.version())}/{batch_folder(source, batch)}")
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
         columns = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
-        columns.write.mode("overwrite").parquet(f"{self._folder(self.version())}/batch={batch}")
+        columns.write.mode("overwrite").parquet(folder)
 
-    def rewrite(self, rows: DataFrame, batch: int = 0) -> int:
-        """Store ``rows`` as the next version and make it current."""
+    def rewrite(self, rows: DataFrame) -> int:
+        """Store ``rows`` as the base of the next version and make it current."""
         following = self.version() + 1
-        columns = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
-        columns.write.mode("overwrite").parquet(f"{self._folder(following)}/batch={batch}")
+        self._write(rows, f"{self._folder(following)}/run_source=__HIVE_DEFAULT_PARTITION__/batch=-1")
         commit = self.spark.range(1).select(F.lit(following).cast("long").alias("version"))
         commit.write.mode("append").json(self._commits)
         return following
@@ -86,7 +105,7 @@ def run_event(
     items_processed: int = 0,
     errors: int = 0,
 ) -> DataFrame:
-    return spark.createDataFrame([(run_id, source, ts, status, items_processed, errors)], RUN_EVENTS)
+    return spark.createDataFrame([(run_id, source, utc(ts), status, items_processed, errors)], RUN_EVENTS)
 
 
 def start_run(spark: SparkSession, path: str, run_id: str, source: str, ts: dt.datetime) -> None:
@@ -110,9 +129,12 @@ def finish_run(
 
 
 def current_runs(events: DataFrame) -> DataFrame:
-    """State of each run from its ledger rows: start, end, last status and counters."""
+    """State of each run from its ledger rows: start, end, last status and counters.
+
+    A run that ended shows its last end, also while it is tried again; of ends at the same time success counts.
+    """
     ended = F.col("status") != RUNNING
-    order = F.struct("event_ts", ended.cast("int").alias("ended"))
+    order = F.struct(ended.alias("ended"), "event_ts", (F.col("status") == SUCCESS).alias("well"))
     last = F.max_by(F.struct("status", "items_processed", "errors"), order)
     runs = events.groupBy("run_id", "source").agg(
         F.min("event_ts").alias("_started"),

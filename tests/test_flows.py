@@ -6,8 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from newsflow.functions.urls import canonical_key
 from newsflow import runs
+from newsflow.functions import times
+from newsflow.functions.urls import canonical_key
 from newsflow.operators import compare, enrich
 from newsflow.plans.feed import feed_raw_records, feed_records, feed_walk
 from newsflow.plans.ranked import ranked_records, ranked_walk
@@ -17,8 +18,8 @@ from newsflow.streaming import ingest
 
 RUN = dt.datetime(2026, 1, 2, 3, 4, 5)
 ANALYSIS = {
-    "company": "Test Corp", "funding_amount": "$5M", "funding_stage": "Seed", "investors": ["VC A"],
-    "summary": "A test summary", "investment_relevant": True, "event_type": "funding",
+    "company": "Lumen Works", "funding_amount": "$7M", "funding_stage": "Series C", "investors": ["North Fund", "Quay"],
+    "summary": "Lumen Works raised money for lamps.", "investment_relevant": True, "event_type": "funding",
 }
 
 
@@ -130,7 +131,7 @@ def test_items_and_ranked_ids(spark, tmp_path):
     path = tmp_path / "items.json"
     path.write_text('{"id": 1, "title": "t", "by": "x", "extra": 1}\nnull\n{"id": 3}\n')
     items = readers.read_items(spark, str(path))
-    assert items.columns == STORY_ITEM.fieldNames()
+    assert items.columns == [*STORY_ITEM.fieldNames(), "landed_at"]
     lists = spark.createDataFrame([([5, 1, 3, 2],), (None,)], "ids array<long>")
     ranked = readers.ranked_ids(lists, 3).select("id", F.col("rank").alias("pos"))
     found = {r.id: r.item is not None for r in readers.with_items(ranked, items).collect()}
@@ -167,14 +168,19 @@ def test_tables_and_ledger(spark, tmp_path):
     table = sinks.ArticleTable(spark, str(tmp_path / "articles"), schema("id long, canonical_key string"))
     frame = lambda *rows: spark.createDataFrame(list(rows), "id long, canonical_key string")
     assert table.read().count() == 0
-    table.append(frame((1, "a")), 0)
-    table.append(frame((2, "b")), 1)
-    table.append(frame((2, "b")), 1)
+    table.append(frame((1, "a")), "feed", 0)
+    table.append(frame((2, "b")), "feed", 1)
+    table.append(frame((2, "b")), "feed", 1)
     assert {tuple(r) for r in table.read().collect()} == {(1, "a"), (2, "b")}
-    assert {tuple(r) for r in table.read(before_batch=1).collect()} == {(1, "a")}
+    assert {tuple(r) for r in table.read(before=("feed", 1)).collect()} == {(1, "a")}
+    assert {tuple(r) for r in table.read(before=("other", 0)).collect()} == {(1, "a"), (2, "b")}
     assert table.rewrite(table.read().withColumn("canonical_key", F.upper("canonical_key"))) == 1
-    table.append(frame((3, "c")), 2)
-    assert {tuple(r) for r in table.read().collect()} == {(1, "A"), (2, "B"), (3, "c")}
+    table.append(frame((3, "c")), "feed", 0)
+    table.append(frame((4, "d")), "a/b=c %", 0)
+    assert {tuple(r) for r in table.read().collect()} == {(1, "A"), (2, "B"), (3, "c"), (4, "d")}
+    assert {tuple(r) for r in table.read(before=("a/b=c %", 0)).collect()} == {(1, "A"), (2, "B"), (3, "c")}
+    with pytest.raises(ValueError):
+        table.append(frame((5, "e")), "feed", -1)
 
     ledger = str(tmp_path / "runs")
     assert sinks.read_runs(spark, ledger).count() == 0
@@ -185,6 +191,10 @@ def test_tables_and_ledger(spark, tmp_path):
     run = sinks.read_runs(spark, ledger).first()
     assert (run.status, run.items_processed, run.errors) == ("success", 3, 1)
     assert run.started_at == run.completed_at == "2026-01-02T03:04:05"
+    # a run that failed and then succeeds, in either order of landing, with the clock standing still
+    for status in ("failed", "success"):
+        sinks.finish_run(spark, ledger, "r2", "feed", RUN, status, 1, 0)
+    assert sinks.read_runs(spark, ledger).where("run_id = 'r2'").first().status == "success"
     table.read().createOrReplaceTempView("articles_view")
     assert "articles_view" in {r.tableName for r in readers.list_tables(spark).collect()}
 
@@ -329,7 +339,7 @@ def test_ranked_stream_batch(spark, tmp_path):
     write(ranked, 0)
     write(ranked, 1)
     rows = sorted(table.read().collect(), key=lambda r: r.id)
-    assert [(r.id, r.company, r.funding_amount) for r in rows] == [(i, "Test Corp", "$5M") for i in (1, 2, 3)]
+    assert [(r.id, r.company, r.funding_amount) for r in rows] == [(i, "Lumen Works", "$7M") for i in (1, 2, 3)]
     assert set(json.loads(rows[0].raw_data)) == set(OUTPUT_RECORD.fieldNames())
 
 
@@ -381,3 +391,98 @@ def test_whole_ranked_runs(spark, tmp_path):
     ]
     runs.ingest_ranked(*where, batch=1, run_ts=RUN, limit=4)
     assert [r.title for r in table.read().orderBy("id").collect()] == ["New AI model", "Ask: is AI done?", "GPT known"]
+
+
+def titles(table):
+    return sorted(r.title for r in table.read().collect())
+
+
+def test_sources_share_a_table_and_batch_numbers(spark, tmp_path):
+    entries, pages, _ = feed_case(spark)
+    ranked, items, ranked_pages, _ = ranked_case(spark)
+    table, ledger = sinks.ArticleTable(spark, str(tmp_path / "articles")), str(tmp_path / "runs")
+    ingest.feed_batches(table, ledger, pages, RUN)(entries, 0)
+    first = titles(table)
+    ingest.ranked_batches(table, ledger, items, ranked_pages, RUN)(ranked, 0)
+    both = titles(table)
+    assert len(both) > len(first) and set(first) <= set(both)
+    ingest.feed_batches(table, ledger, pages, RUN)(entries, 0)  # replay
+    assert titles(table) == both
+    table.rewrite(table.read())
+    ingest.feed_batches(table, ledger, pages, RUN)(entries, 0)  # a new stream counts from 0 again
+    assert titles(table) == both
+
+
+def test_landed_files_count_positions_on_their_own(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [(f"https://e.com/{i}", page(f"H{i}", f"b{i}"), 200) for i in range(4)], "url string, html string, http_status int"
+    )
+    landing = str(tmp_path / "landing")
+    for part in ((0, 1), (2, 3)):
+        rows = [(n, f"T{i}", f"https://e.com/{i}", None) for n, i in enumerate(part)]
+        spark.createDataFrame(rows, FEED_ENTRY).coalesce(1).write.mode("append").json(landing)
+    table, ledger = sinks.ArticleTable(spark, str(tmp_path / "articles")), str(tmp_path / "runs")
+    write = ingest.feed_batches(table, ledger, pages, RUN)
+    stream = ingest.read_entry_stream(spark, landing, FEED_ENTRY)
+    ingest.ingest_stream(stream, write, str(tmp_path / "state")).awaitTermination()
+    assert titles(table) == ["H0", "H1", "H2", "H3"]
+    assert sorted(r.id for r in table.read().collect()) == [1, 2, 3, 4]
+    assert sinks.read_runs(spark, ledger).first().items_processed == 4
+
+
+def test_two_id_lists_and_items_landed_twice(spark, tmp_path):
+    ranked, items, pages, _ = ranked_case(spark)
+    pages.write.parquet(str(tmp_path / "pages"))
+    items.write.json(str(tmp_path / "items"))
+    items.write.mode("append").json(str(tmp_path / "items"))
+    where = lambda name: (
+        spark, str(tmp_path / name), str(tmp_path / "items"), str(tmp_path / "pages"),
+        sinks.ArticleTable(spark, str(tmp_path / f"{name}-articles")), str(tmp_path / "runs"),
+    )
+    (tmp_path / "one").write_text(json.dumps({"ids": list(range(1, 9))}))
+    (tmp_path / "two").write_text("\n".join(json.dumps({"ids": ids}) for ids in (list(range(1, 5)), list(range(5, 9)))))
+    found = []
+    for name in ("one", "two"):
+        args = where(name)
+        runs.ingest_ranked(*args, batch=0, run_ts=RUN, limit=8)
+        found.append(titles(args[4]))
+        assert len(set(found[-1])) == len(found[-1])
+    assert found[0] == found[1]
+
+
+def test_page_landed_twice_counts_once_and_the_newest_wins(spark):
+    entries = spark.createDataFrame([(0, "A", "https://e.com/1", None), (1, "B", "https://e.com/2", None)], FEED_ENTRY)
+    rows = [
+        ("https://e.com/1", page("Old", "old"), 200, RUN),
+        ("https://e.com/1", page("New", "new"), 200, RUN + dt.timedelta(days=1)),
+        ("https://e.com/2", page("Two", "two"), 200, RUN),
+    ]
+    pages = spark.createDataFrame(rows, "url string, html string, http_status int, landed_at timestamp")
+    got = feed_walk(entries, pages, None, RUN).accepted.collect()
+    assert sorted(r.title for r in got) == ["New", "Two"]
+    untimed = feed_walk(entries, pages.drop("landed_at"), None, RUN).accepted.collect()
+    assert len(untimed) == 2
+
+
+def test_clock_values_do_not_depend_on_the_zone(spark, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        shown = spark.range(1).select(
+            times.isoformat(times.run_time(dt.datetime(2026, 1, 1))).alias("run"),
+            times.isoformat(times.parse_page_date(F.lit("10:11"), dt.datetime(2026, 1, 1))).alias("timed"),
+        ).first()
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert (shown.run, shown.timed) == ("2026-01-01T00:00:00", "2026-01-01T10:11:00")
+
+
+@pytest.mark.parametrize(
+    "text", ["5th March 2024", "Mar 5 2024", "Tue Mar  5 00:00:00 2024", "5-Mar-2024", "2024.03.05", "March 5, 2024", "2024-03-05"]
+)
+def test_common_page_dates(spark, text):
+    parsed = spark.range(1).select(times.isoformat(times.parse_page_date(F.lit(text), RUN)).alias("d")).first().d
+    assert parsed == "2024-03-05T00:00:00"
