@@ -66,14 +66,20 @@ def walk(
 
 
 def in_order(listed: DataFrame, *order: str) -> DataFrame:
-    """``listed`` with ``pos``, a number that is unique and follows ``order``, then all other columns; staged.
+    """``listed`` with ``pos``, which is unique and follows ``order``, instead of the columns ``order``; staged.
 
-    Positions that several files or lists count on their own give the order; identity is given here, once.
+    Positions that several files or lists count on their own give the order, and identity is given here, once.
+    A single position column that is unique already is kept as it is, without a sort.
     """
     present = [c for c in order if c in listed.columns]
     rest = [c for c in listed.columns if c not in present]
-    placed = listed.orderBy(*present, *rest).withColumn("_id", F.monotonically_increasing_id())
-    return stage(placed.drop("pos", *order).withColumnRenamed("_id", "pos"), "listed")
+    listed = stage(listed, "given")
+    if len(present) == 1:
+        repeated = listed.groupBy(*present).count().where((F.col("count") > 1) | F.col(present[0]).isNull())
+        if not repeated.limit(1).collect():
+            return listed.withColumnRenamed(present[0], "pos")
+    placed = listed.orderBy(*present, *rest).withColumn("pos", F.monotonically_increasing_id())
+    return stage(placed.select("pos", *rest), "listed")
 
 
 def fold_copies(found: DataFrame, landed_at: str = "landed_at") -> DataFrame:
