@@ -319,5 +319,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = near_duplicates(docs, id_col, text_col, **how).where("kept and doc_id is not null").select("doc_id").distinct()
     with_id = docs.where(F.col(id_col).isNotNull())
     kept = kept.select(F.col("doc_id").alias(id_col))
-    single = with_id.join(kept, id_col, "left_semi").select(*docs.columns)
-    return single.unionByName(docs.where(F.col(id_col).isNull()))
+    columns = F.struct(*docs.columns)
+    first = F.min_by(columns, F.coalesce(F.col(text_col), F.lit("")))
+    single = with_id.join(kept, id_col, "left_semi").groupBy(F.col(id_col).alias("_id")).agg(first.alias("_row"))
+    return single.select("_row.*").unionByName(docs.where(F.col(id_col).isNull()))
