@@ -39,6 +39,8 @@ _TAG = r"""[!/?]?[A-Za-z](?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
 INVISIBLE = rf"(?is)<(?:{_SCRIPT}|{_COMMENT})"
 MARKUP = rf"(?is)<(?:{_SCRIPT}|{_COMMENT}|{_TAG})"
 TAG = rf"(?is)<{_TAG}"
+# the attributes of a tag up to its ">": quoted values may hold one; unbalanced quotes are taken as text
+_ATTRIBUTES = r"""(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*+)"""
 
 # --- fixed values: references decoded without leaving the JVM; "&amp;" must stay last ---------
 COMMON_REFERENCES = (
@@ -114,22 +116,32 @@ def strip_join(fragment: Column) -> Column:
     return _join_pieces(decode_references(F.regexp_replace(fragment, MARKUP, MARK), fragment))
 
 
+def visible_markup(page: Column) -> Column:
+    """The page with comments, scripts and styles blanked to a mark, so that selectors see live elements only.
+
+    Tags are matched along, so that a comment inside a quoted value stays; pages without any are left as they are.
+    """
+    shown = F.regexp_replace(page, rf"(?is)<(?:{_SCRIPT}|{_COMMENT})|(<{_TAG})", "$2" + MARK)
+    return F.when(page.rlike(r"(?i)<(?:!--|script|style)"), shown).otherwise(page)
+
+
 def _open_tag(tag: str, css_class: str | None) -> str:
+    """Opening tag without its ``>``. Names are looked for outside quoted values."""
     if css_class is None:
-        return rf"<(?i:{tag})(?=[\s>/])[^>]*+>"
+        return rf"<(?i:{tag})(?=[\s>/]){_ATTRIBUTES}"
     name = re.escape(css_class)
     value = (
-        rf'"(?:[^">]*\s)?{name}(?:\s[^">]*)?"'
-        rf"|'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'"
+        rf'"(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
+        rf"|'(?:[^']*\s)?{name}(?:\s[^']*)?'"
         rf"|{name}(?=[\s>])"
     )
-    return rf"<(?i:{tag})(?=\s[^>]*?(?<=\s)(?i:class)\s*=\s*(?:{value}))[^>]*+>"
+    before = r"""(?:(?!(?<=\s)(?i:class)\s*=)(?:[^\s>"']++|\s|"[^"]*+"|'[^']*+'))*+"""
+    return rf"<(?i:{tag})(?=\s{before}(?i:class)\s*=\s*(?:{value})){_ATTRIBUTES}"
 
 
 def block_tail(page: Column, tag: str, css_class: str | None = None) -> Column:
     """The page from the end of the first such opening tag on (its ``>`` included), else empty."""
-    opening = _open_tag(tag, css_class).removesuffix(">")
-    return F.regexp_extract(page, rf"(?s){opening}(>.*)", 1)
+    return F.regexp_extract(page, rf"(?s){_open_tag(tag, css_class)}(>.*)", 1)
 
 
 def flat_block(tail: Column, tag: str) -> Column:
@@ -169,7 +181,7 @@ def paragraphs(block: Column) -> Column:
     p_open = r"<[pP](?=[\s>/])"
     text = F.regexp_replace(block, INVISIBLE, MARK)
     text = F.regexp_replace(text, rf"(?s)(?:\A|</[pP]\s*+>).*?(?={p_open}|\z)", "")
-    text = F.regexp_replace(text, rf"{p_open}[^>]*+>", MARK + PARAGRAPH + MARK)
+    text = F.regexp_replace(text, rf"{p_open}{_ATTRIBUTES}>", MARK + PARAGRAPH + MARK)
     text = decode_references(F.regexp_replace(text, TAG, MARK), block)
     text = _join_pieces(text)
     return F.replace(F.substring(text, F.lit(2), F.length(text)), F.lit(PARAGRAPH), F.lit("\n\n"))

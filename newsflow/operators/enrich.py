@@ -22,6 +22,10 @@ from newsflow.functions.times import isoformat, run_time
 from newsflow.operators.skew import HOT_ROWS, lookup_join
 from newsflow.schemas import ANALYSIS, OUTPUT_RECORD
 
+# --- fixed values: texts that stand for a boolean -----------------------------------------------
+TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1", "1.0")
+FALSE_TEXTS = ("false", "f", "no", "n", "off", "0", "0.0")
+
 Analyzer = Callable[[str], dict | str | None]
 
 
@@ -66,9 +70,33 @@ def checked_analysis(a: Column) -> Column:
     return F.when(valid, F.struct(*fields))
 
 
+def _truth(value: Column) -> Column:
+    """True or false from a JSON boolean, or from a text or number that means one; else null."""
+    low = F.lower(value.try_cast("string"))
+    return F.when(low.isin(*TRUE_TEXTS), True).when(low.isin(*FALSE_TEXTS), False)
+
+
 def parse_analysis(response: Column) -> Column:
-    """JSON response to a checked analysis; malformed or incomplete text gives null."""
-    return checked_analysis(F.from_json(response, ANALYSIS))
+    """JSON response to a checked analysis; malformed or incomplete text, or a field of another type, gives null.
+
+    Texts must be JSON strings and investors a list of them; a null list counts as empty.
+    """
+    found = F.try_parse_json(response)
+    parsed = F.from_json(response, ANALYSIS)
+    strict, fields = F.lit(True), []
+    for f in ANALYSIS:
+        value = F.try_variant_get(found, f"$.{f.name}", "variant")
+        kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        kept = parsed[f.name]
+        if f.name == "investment_relevant":
+            kept = _truth(F.try_variant_get(found, f"$.{f.name}", "string"))
+        elif f.name == "investors":
+            strict &= kind.isin("VOID", "ARRAY<VOID>", "ARRAY<STRING>")
+            strict &= ~F.coalesce(F.exists(kept, lambda x: x.isNull()), F.lit(False))
+        else:
+            strict &= kind.isin("VOID", "STRING")
+        fields.append(kept.alias(f.name))
+    return F.when(strict, checked_analysis(F.struct(*fields)))
 
 
 def analyze(df: DataFrame, prompt: Column, analyzer_factory: Callable[[], Analyzer] | None) -> DataFrame:

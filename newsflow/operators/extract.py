@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.constants import CONTENT_SELECTORS, TITLE_SELECTOR, UNKNOWN_TITLE
-from newsflow.functions.text import block_tail, flat_block, meta_published, nested_block, nests, paragraphs, strip_join
+from newsflow.functions.text import block_tail, flat_block, meta_published, nested_block, nests, paragraphs, strip_join, visible_markup
 
 Selector = tuple[str, str | None]
 
@@ -40,13 +40,17 @@ def with_article(
     title_selector: Selector = TITLE_SELECTOR,
     content_selectors: tuple[Selector, ...] = CONTENT_SELECTORS,
 ) -> DataFrame:
-    """Add ``page_title`` (or a fixed placeholder), ``content`` (or empty text) and ``published_raw``."""
+    """Add ``page_title`` (or a fixed placeholder), ``content`` (or empty text) and ``published_raw``.
+
+    Elements inside comments, scripts and styles are not found.
+    """
     columns = df.columns
-    df = with_first_block(df, page, "_title", (title_selector,))
-    df = with_first_block(df, page, "_content", content_selectors)
+    df = df.withColumn("_shown", visible_markup(F.col(page)))
+    df = with_first_block(df, "_shown", "_title", (title_selector,))
+    df = with_first_block(df, "_shown", "_content", content_selectors)
     return df.select(
         *columns,
         F.coalesce(strip_join(F.col("_title")), F.lit(UNKNOWN_TITLE)).alias("page_title"),
         F.coalesce(paragraphs(F.col("_content")), F.lit("")).alias("content"),
-        meta_published(F.col(page)).alias("published_raw"),
+        meta_published(F.col("_shown")).alias("published_raw"),
     )

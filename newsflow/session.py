@@ -1,7 +1,5 @@
 """Session defaults and the shared folder for staged tables."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +24,9 @@ def build_session(app: str = "newsflow", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="newsflow-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder the cluster names; local sessions without one get their own."""
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = _local_scratch()
+    """A fresh path in the folder the cluster names, else in one of the warehouse, which executors share too."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

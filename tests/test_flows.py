@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from newsflow import runs
 from newsflow.functions import times
 from newsflow.functions.urls import canonical_key
-from newsflow.operators import compare, enrich
+from newsflow.operators import compare, enrich, upsert
 from newsflow.plans.feed import feed_raw_records, feed_records, feed_walk
 from newsflow.plans.ranked import ranked_records, ranked_walk
 from newsflow.schemas import ARTICLES, FEED_ENTRY, LANDED_PAGE, OUTPUT_RECORD, RAW_RECORD, STORY_ITEM, schema
@@ -486,3 +486,38 @@ def test_clock_values_do_not_depend_on_the_zone(spark, monkeypatch):
 def test_common_page_dates(spark, text):
     parsed = spark.range(1).select(times.isoformat(times.parse_page_date(F.lit(text), RUN)).alias("d")).first().d
     assert parsed == "2024-03-05T00:00:00"
+
+
+def test_parse_analysis_checks_types(spark):
+    cases = [
+        ({"investors": "Quay"}, None), ({"investors": [1, 2]}, None), ({"investors": ["a", None]}, None), ({"investors": []}, True),
+        ({"company": 5}, None), ({"company": {"n": 1}}, None), ({"company": None}, True), ({"summary": 7}, None), ({"summary": None}, None),
+        ({"investment_relevant": "true"}, True), ({"investment_relevant": 1}, True), ({"investment_relevant": "No"}, False),
+        ({"investment_relevant": 2}, None), ({"investment_relevant": None}, None), ({"event_type": ["funding"]}, None),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(ANALYSIS | change)) for i, (change, _) in enumerate(cases)], "i int, t string")
+    got = [r.a for r in df.select("i", enrich.parse_analysis(F.col("t")).alias("a")).orderBy("i").collect()]
+    assert [a and a.investment_relevant for a in got] == [want for _, want in cases]
+
+
+def test_fold_overlapping_batches(spark, tmp_path):
+    table = sinks.ArticleTable(spark, str(tmp_path / "articles"))
+    blank = {f: None for f in ARTICLES.fieldNames()}
+
+    def batch(*rows, at):
+        return spark.createDataFrame(
+            [blank | {"id": i, "canonical_key": k, "title": t, "funding_amount": a, "url": f"u{t}", "source": "s", "inserted_at": at} for i, k, t, a in rows],
+            ARTICLES,
+        )
+
+    table.append(batch((1, "a", "A1", "$1"), (2, "b", "B1", "$2"), at="2026-01-01T00:00:00"), "s", 0)
+    table.append(batch((1, "c", "C1", None), (2, "a", "A2", None), at="2026-01-02T00:00:00"), "t", 0)
+    table.rewrite(upsert.fold_articles(table.read()))
+    rows = sorted((r.id, r.canonical_key, r.title, r.url, r.funding_amount, r.inserted_at[:10]) for r in table.read().collect())
+    assert rows == [
+        (1, "a", "A2", "uA1", None, "2026-01-01"), (2, "b", "B1", "uB1", "$2", "2026-01-01"), (3, "c", "C1", "uC1", None, "2026-01-02"),
+    ]
+    incoming = table.read().where("id < 3").withColumn("title", F.lit("new")).withColumn("pos", F.col("id"))
+    merged = upsert.upsert_articles(table.read(), incoming)
+    table.rewrite(upsert.assign_ids(merged, table.read()))
+    assert sorted((r.id, r.title) for r in table.read().collect()) == [(1, "new"), (2, "new"), (3, "C1")]
