@@ -4,10 +4,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import ann, bpe, chat, kdtree, langid, license, neardup, packing, quality, reputation
+from newsflow.llm import (
+    alignment,
+    ann,
+    bpe,
+    chat,
+    collisions,
+    divergence,
+    kdtree,
+    langid,
+    license,
+    neardup,
+    packing,
+    quality,
+    reputation,
+)
 from newsflow.llm.common import remainder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES = {}
 ORACLES = {}
@@ -186,3 +201,71 @@ def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.load_vocabulary(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = alignment.load_tokenizers(public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES))
+    return alignment.align_corpus(table(spark, sf_dir, "documents"), models)
+
+
+@query
+def op12_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+ORACLES["op12_collision_counting"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS u, vec_id AS v FROM embeddings
+  UNION
+  SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u) USING (vec_id)
+JOIN (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u) USING (vec_id)
+"""
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*) AS size, sum(lang_n) AS total FROM kept GROUP BY lang),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM groups g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source
+  GROUP BY ALL),
+shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(n, 0) AS n,
+    CAST(1 + (1000000000 * CAST(coalesce(n, 0) + 2 AS HUGEINT)) // (t.total + 2 * size) AS BIGINT) AS p,
+    CAST(1 + (1000000000 * CAST(lang_n + 2 AS HUGEINT)) // (l.total + 2 * size) AS BIGINT) AS q
+  FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""".replace("\\\\", "\\")

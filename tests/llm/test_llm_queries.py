@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = entry_module.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names
 
 
