@@ -6,9 +6,10 @@ found by rendering the prefix with two probe texts in its place; what both outpu
 is markup. If an output does not begin with the output before, the template rewrites history: the turns it
 touched are marked and carry no loss.
 
-Rendering every prefix costs the square of the number of turns. Above ``WINDOW`` turns, prefixes are rendered
-within windows of the latest turns, and the pieces are checked against one rendering of the whole
-conversation; a template that looks further back fails the check and gets every prefix rendered after all.
+Every prefix is rendered, which costs the square of the number of turns. A caller who knows that the template never
+rewrites may ask for a ``window``: prefixes of longer conversations are then rendered within windows of the latest
+turns, and the pieces are checked against one rendering of the whole conversation. A template that fails the
+check gets every prefix rendered after all, but a rewrite that a later turn undoes stays unseen.
 
 Conversations are streamed: a task holds one conversation at a time, which is one output string by definition.
 """
@@ -26,7 +27,6 @@ from newsflow.llm.common import as_text, map_groups
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
-WINDOW = 64
 PROBES = ("A", "B")
 
 HEAD, COLON, TAIL = "### ", ": ", " </turn>\n"
@@ -106,9 +106,9 @@ def _prefixes(turns: list[Turn], render: Template, context: list[Turn]) -> tuple
     return base, out, spans
 
 
-def locate(turns: list[Turn], render: Template, window: int = WINDOW) -> tuple[str, list[Span]]:
+def locate(turns: list[Turn], render: Template, window: int | None = None) -> tuple[str, list[Span]]:
     """The formatted conversation and the span of each turn in it."""
-    if len(turns) <= window:
+    if window is None or len(turns) <= window:
         _, out, spans = _prefixes(turns, render, [])
         return out, spans
     whole = render(turns)
@@ -153,7 +153,7 @@ def format_conversations(
     role_col: str = "role",
     text_col: str = "text",
     trained_role: str = "assistant",
-    window: int = WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """``conv_id, n_turns, formatted, spans, rewrites`` for each conversation of a table with one row per turn.
 

@@ -120,3 +120,19 @@ def test_conversation_rows(spark):
     back = {r.conv_id: r for r in chat.read_back(chat.format_conversations(turns)).collect()}
     assert back[1].loss_chars == 2 and back[1].formatted_chars == len(got[1].formatted)
     assert chat.read_back(chat.format_conversations(turns.limit(0))).count() == 0
+
+
+def test_a_rewrite_that_is_undone_is_found_by_default(spark):
+    turns = [("user" if i % 2 == 0 else "assistant", f"turn {i}") for i in range(200)]
+    plainly = chat.turn_template
+
+    def marked_early(turns):
+        return ("!" if len(turns) == 140 else "") + plainly(turns)
+
+    assert sum(s.rewritten for s in chat.locate(turns, marked_early)[1]) == 140
+    rows = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], "conv_id long, turn int, role string, text string")
+    marked = chat.format_conversations(rows, marked_early).first()
+    assert marked.rewrites and sum(s.rewritten for s in marked.spans) == 140
+    plain = chat.format_conversations(rows).first()
+    assert not plain.rewrites and plain.formatted == chat.turn_template(turns)
+    assert chat.locate(turns, chat.turn_template, window=64) == chat.locate(turns, chat.turn_template)
