@@ -124,7 +124,7 @@ def judge(
     z: float = Z,
     limit: float = LIMIT,
 ) -> DataFrame:
-    """``page_id, host, path, rule, verdict, n_outcomes, mean_bad`` for every row of ``pages``.
+    """``page_id, host, path, rule, verdict, n_outcomes, mean_bad, bound_bad`` for every row of ``pages``.
 
     A page that a rule fits gets the rule's verdict; the others are blocked or allowed by their host's posterior.
     ``outcomes(host, bad)`` are labelled pages, ``bad`` 0 or 1 (rows with a null are no outcomes); without them
@@ -143,9 +143,9 @@ def judge(
     hosts = known.where("host is not null").groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count(F.lit(1)).alias("_n")
     )
-    found = host_reputation(hosts, z, limit).withColumnRenamed("n", "n_outcomes").withColumnRenamed("mean", "mean_bad")
+    found = host_reputation(hosts, z, limit).withColumnRenamed("n", "n_outcomes").withColumnsRenamed({"mean": "mean_bad", "bound": "bound_bad"})
     joined = lookup_join(
-        placed, found.select("host", "n_outcomes", "mean_bad", "blocked"), "host", "page_id", counts=hosts.select("host", "_n")
+        placed, found.select("host", "n_outcomes", "mean_bad", "bound_bad", "blocked"), "host", "page_id", counts=hosts.select("host", "_n")
     )
     verdict = F.coalesce("rule_verdict", F.when(F.col("blocked"), "block").otherwise("allow"))
-    return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "n_outcomes", "mean_bad")
+    return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "n_outcomes", "mean_bad", "bound_bad")
