@@ -6,10 +6,12 @@ centroid with the greatest cosine. A text is rejected when its distance (1 - cos
 the learning texts of about its length have from their own language by more than a margin.
 
 Document frequencies are counted over all learning rows. Centroids and distances come from a sample of at most
-``2 * per_language`` rows of each language, chosen by a hash of the id. What is broadcast is bounded by
-``buckets * centroids * languages``; the number of languages must be at most ``MAX_LANGUAGES``.
+``2 * per_language`` ids of each language, chosen by a hash of the id. A task clusters the sample of one language;
+the driver gets its centroids and one distance per step of text length. What is broadcast is bounded by
+``buckets * centroids * languages``.
 """
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import as_text, remainder
+from newsflow.llm.common import as_text, map_groups, remainder
+from newsflow.session import stage
 
 BUCKETS = 4096
 ORDERS = (1, 2, 3, 4)
 CENTROIDS = 4
 PER_LANGUAGE = 1_000
-MAX_LANGUAGES = 500
 MARGIN = 0.3
 USUAL = 0.9
 FEWEST = 20
@@ -107,6 +109,29 @@ def clustered(rows: np.ndarray, k: int, rng: np.random.Generator, rounds: int =
     return centroids
 
 
+def _learn(k: int, most: int):
+    """Clusters the sample of a language: a row per centroid, then one per sampled text with its distance."""
+
+    def run(key, table):
+        table = table.slice(0, most)
+        rows = np.zeros((table.num_rows, BUCKETS), dtype=np.float32)
+        for row, buckets, weights in zip(rows, table["buckets"].to_pylist(), table["weights"].to_pylist(), strict=True):
+            row[np.frombuffer(buckets, dtype=np.uint16)] = np.frombuffer(weights, dtype=np.float32)
+        centre = clustered(rows, k, np.random.default_rng([11, zlib.crc32(key[0].encode())]))
+        distance = 1 - (rows @ centre.T).max(1)
+        n, m = len(centre), len(rows)
+        return pa.table(
+            {
+                "lang": pa.array([key[0]] * (n + m), pa.string()),
+                "centroid": pa.array([c.tobytes() for c in centre] + [None] * m, pa.binary()),
+                "step": pa.array([None] * n + table["step"].to_pylist(), pa.int32()),
+                "distance": pa.array([None] * n + distance.astype(float).tolist(), pa.float64()),
+            }
+        )
+
+    return run
+
+
 def fit(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -117,18 +142,14 @@ def fit(
 ) -> Model:
     """Learn from rows whose crc32(id as text) modulo 3 is not 1 and whose language and id are not null.
 
-    Texts without a letter teach nothing. Without any learning row the model predicts ``und`` for every text.
+    Texts without a letter teach nothing, and an id that repeats in a language teaches its centroids once. Without any
+    learning row the model predicts ``und`` for every text. The number of languages has no limit of its own.
     """
     learning = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("doc_id is not null and lang is not null and text is not null")
     learning = learning.where(remainder("doc_id", 3) != 1)
 
-    sizes = {r.lang: r["count"] for r in learning.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = sorted(sizes)
-
     def frequencies(batches):
         seen, rows = np.zeros(BUCKETS, dtype=np.int64), 0
         for batch in batches:
@@ -145,51 +166,53 @@ def fit(
         frequency[row.bucket + 1] = row.n
     idf = np.log((1 + frequency[0]) / (1 + frequency[1:])) + 0.05
 
+    # one row per language, as many as the model itself has languages
+    sizes = learning.groupBy("lang").count().collect()
     space = 1 << 30
+    shares = [(r.lang, int(space * min(1.0, per_language / r["count"]))) for r in sizes]
+    bounds = docs.sparkSession.createDataFrame(shares, "lang string, bound long")
     place = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(space))
-    bound = F.lit(0)
-    for lang, n in sizes.items():
-        bound = F.when(F.col("lang") == lang, int(space * min(1.0, per_language / n))).otherwise(bound)
 
     def sample_vectors(batches):
         for batch in batches:
             texts = batch.column(2).to_pylist()
             keep = [i for i, t in enumerate(texts) if has_letter(t)]
-            rows = [vector(counts(texts[i]), idf).astype(np.float32).tobytes() for i in keep]
+            rows = [vector(counts(texts[i]), idf).astype(np.float32) for i in keep]
+            filled = [np.flatnonzero(row) for row in rows]
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(at),
                     batch.column(1).take(at),
                     pa.array([length_step(texts[i]) for i in keep], pa.int32()),
-                    pa.array(rows, pa.binary()),
+                    pa.array([f.astype(np.uint16).tobytes() for f in filled], pa.binary()),
+                    pa.array([row[f].tobytes() for row, f in zip(rows, filled, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "lang", "step", "vector"],
+                names=["doc_id", "lang", "step", "buckets", "weights"],
             )
 
-    chosen = learning.where(place < bound).select("doc_id", "lang", "text")
-    sample = chosen.mapInArrow(sample_vectors, "doc_id long, lang string, step int, vector binary").toArrow()
-    sample = sample.sort_by([("lang", "ascending"), ("doc_id", "ascending"), ("vector", "ascending")])
-    lang, step = np.array(sample["lang"].to_pylist(), dtype=object), sample["step"].to_numpy()
-    rows = np.frombuffer(b"".join(sample["vector"].to_pylist()), dtype=np.float32).reshape(-1, BUCKETS)
-
-    rng = np.random.default_rng(11)
-    found, owner, distances, steps = [], [], [], []
-    for i, name in enumerate(languages):
-        own = rows[lang == name][: 2 * per_language]
-        if not len(own):
-            continue
-        centre = clustered(own.copy(), centroids, rng)
-        found.append(centre)
-        owner += [i] * len(centre)
-        distances.append(1 - (own @ centre.T).max(1))
-        steps.append(step[lang == name][: 2 * per_language])
+    chosen = learning.join(F.broadcast(bounds), "lang").where(place < F.col("bound")).select("doc_id", "lang", "text")
+    vectors = chosen.mapInArrow(sample_vectors, "doc_id long, lang string, step int, buckets binary, weights binary")
+    # an id that repeats teaches once, so a language's sample is bounded before it meets in a task
+    sample = vectors.groupBy("lang", "doc_id").agg(F.min(F.struct("step", "buckets", "weights")).alias("one"))
+    learned = stage(
+        map_groups(
+            sample.select("lang", "doc_id", "one.*"),
+            ["lang"],
+            ["doc_id"],
+            _learn(centroids, 2 * per_language),
+            "lang string, centroid binary, step int, distance double",
+        ),
+        "language-centroids",
+    )
+    found = sorted((r.lang, r.centroid) for r in learned.where("centroid is not null").select("lang", "centroid").collect())
+    languages = sorted({lang for lang, _ in found})
+    usual = F.percentile("distance", F.lit(USUAL))
+    steps = learned.where("distance is not null").groupBy("step").agg(F.count(F.lit(1)).alias("n"), usual.alias("far")).collect()
     far = np.zeros(LENGTH_STEPS)
-    if found:
-        distance, at = np.concatenate(distances), np.concatenate(steps)
-        for s in range(LENGTH_STEPS):
-            if (at == s).sum() >= FEWEST:
-                far[s] = max(1e-6, np.quantile(distance[at == s], USUAL))
+    for row in steps:
+        if row.n >= FEWEST:
+            far[row.step] = max(1e-6, row.far)
     # a shorter text may lie as far out as a longer one; texts shorter than those often seen are not judged,
     # longer ones are judged like the longest
     limits = np.maximum.accumulate(far[::-1])[::-1] + MARGIN
@@ -198,10 +221,10 @@ def fit(
     if len(seen):
         limits[seen[-1] :] = limits[seen[-1]]
     return Model(
-        languages if found else [],
+        languages,
         idf,
-        np.concatenate(found) if found else np.zeros((0, BUCKETS), np.float32),
-        np.array(owner, dtype=np.int64),
+        np.frombuffer(b"".join(c for _, c in found), dtype=np.float32).reshape(-1, BUCKETS),
+        np.array([languages.index(lang) for lang, _ in found], dtype=np.int64),
         np.minimum(limits, 1.0),
     )
 

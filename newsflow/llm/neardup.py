@@ -320,6 +320,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with_id = docs.where(F.col(id_col).isNotNull())
     kept = kept.select(F.col("doc_id").alias(id_col))
     columns = F.struct(*docs.columns)
-    first = F.min_by(columns, F.coalesce(F.col(text_col), F.lit("")))
+    # rows of one id and one text are ordered by their other columns, never by arrival
+    first = F.min_by(columns, F.struct(F.coalesce(F.col(text_col), F.lit("")), F.xxhash64(*docs.columns)))
     single = with_id.join(kept, id_col, "left_semi").groupBy(F.col(id_col).alias("_id")).agg(first.alias("_row"))
     return single.select("_row.*").unionByName(docs.where(F.col(id_col).isNull()))

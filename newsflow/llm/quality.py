@@ -145,10 +145,9 @@ def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, e
             part = np.empty((len(ids), 1 + FACTORS))
             part[:, 0] = own
             part[:, 1:] = own[:, None] * (np.repeat(sums, sizes, axis=0) - weights[ids, 1:] * values[:, None])
-            touched, place = np.unique(ids, return_inverse=True)
-            grad = np.zeros((len(touched), 1 + FACTORS))
-            np.add.at(grad, place, part)
-            grad += 1e-5 * weights[touched]
+            order = np.argsort(ids, kind="stable")
+            touched, runs = np.unique(ids[order], return_index=True)
+            grad = np.add.reduceat(part[order], runs) + 1e-5 * weights[touched]
             step += 1
             first[touched] = 0.9 * first[touched] + 0.1 * grad
             second[touched] = 0.99 * second[touched] + 0.01 * grad**2
@@ -179,7 +178,7 @@ def fit(
     """Fit on labelled documents whose crc32(id as text) modulo 5 is not 0.
 
     Only labels 0 and 1 count; an id that is labelled both ways counts as 0. Ids or labels that are null teach
-    nothing. ``max_train`` bounds the sample (see module text).
+    nothing; of an id that repeats one row teaches. ``max_train`` bounds the sample (see module text).
     """
     known = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
@@ -211,8 +210,10 @@ def fit(
     made = rows.select("doc_id", "text", "recorded", "label").mapInArrow(
         run, "doc_id long, label int, ids array<int>, features array<float>"
     )
+    # one row per sampled id, which bounds what the driver gets
+    single = made.groupBy("doc_id").agg(F.min(F.struct("label", "ids", "features")).alias("one")).select("doc_id", "one.*")
     # ordered, so that the fit does not depend on which task ends first
-    taken = made.toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
+    taken = single.toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
     pairs = [
         (np.asarray(i.values, dtype=np.int64), np.asarray(v.values, dtype=np.float64))
         for i, v in zip(taken["ids"], taken["features"], strict=True)

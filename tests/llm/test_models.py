@@ -94,3 +94,19 @@ def test_nearest_centroid_by_brute_force(spark):
         own = [float(langid.vector(langid.counts(text), idf) @ c) for c in centres]
         assert np.isclose(max(own), cosine[i], atol=1e-5)
         assert best[i] == [0, 0, 1, 1, 1][int(np.argmax(own))]
+
+
+def test_one_sampled_id_that_repeats_is_fetched_once(spark, monkeypatch):
+    texts = [f"the text number {'abc'[i % 3] * (i % 7 + 1)} of many" for i in range(900)]
+    docs = spark.createDataFrame([(1001, t, "en", 30) for t in texts] + [(i, f"der satz {i} ist da", "de", 20) for i in range(300)], "doc_id long, text string, lang string, n_chars long")
+    sizes = []
+    monkeypatch.setattr(quality, "fit_machine", lambda pairs, labels: sizes.append(len(pairs)))
+    quality.fit(docs, spark.createDataFrame([(1001, 1), (0, 0)], "doc_id long, quality int"))
+    assert sizes == [2]
+    model = langid.fit(docs, per_language=2000)
+    assert model.languages == ["de", "en"] and (model.owner == 1).sum() == 1
+
+
+def test_many_languages_have_no_cap(spark):
+    docs = spark.createDataFrame([(i, f"w{i % 600} " * 5 + "text", f"l{i % 600}") for i in range(2400)], "doc_id long, text string, lang string")
+    assert len(langid.fit(docs).languages) > 550
