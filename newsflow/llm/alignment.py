@@ -6,8 +6,9 @@ whose byte ranges overlap are linked.
 
 1. A text is cut before every single space between two non-spaces. No token of A crosses such a place, and none of B
    if no piece has a space behind another character, which is checked when the models are loaded (otherwise a text
-   is one segment). So a text's alignment is the sequence of its segments' alignments, and each task works out a
-   distinct segment once. A text with a segment that does not give its bytes back is judged as a whole.
+   is one segment). So a text's alignment is the sequence of its segments' alignments, and a task remembers those of
+   recent short segments. A text with a segment that does not give its bytes back is judged as a whole. Results are
+   staged with the ids of each text, so that every text is tokenized once.
 2. ``same`` maps each A id to the B id with the same bytes. A group of one A token and its ``same`` is exact and is
    counted in a vector as long as A's vocabulary. Only links of other groups are counted as pairs, added up in the
    task before they are shuffled.
@@ -18,9 +19,9 @@ whose byte ranges overlap are linked.
 
 import hashlib
 import re
-from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ SPACE = "▁"
 CUT = re.compile(r"(?<=\S)(?= \S)")
 HEAVY_PAIRS = 1 << 17
 BLOCK_CHARS = 1_000_000
-CACHED_SEGMENTS, CACHED_CHARS = 100_000, 64
+CACHED_SEGMENTS, CACHED_CHARS = 300_000, 64
 FLUSH_PAIRS = 500_000
 #: A pair of ids is one number: A's id in the upper, B's in the lower 32 bits.
 SHIFT = 32
@@ -49,7 +50,7 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-@dataclass(frozen=True, slots=True, eq=False)
+@dataclass(slots=True, eq=False)
 class Segment:
     """The alignment of a piece of text: counts, groups as text, A ids of exact groups, pairs of the other links."""
 
@@ -62,7 +63,6 @@ class Segment:
     pairs: tuple[int, ...]
 
 
-
 @dataclass
 class Tokenizers:
     """Both models, as the bytes of their files, so that tasks need no file of the driver's."""
@@ -117,49 +117,91 @@ class Tokenizers:
         found = []
         for start, end in text_blocks(segments, BLOCK_CHARS):
             part = segments[start:end]
-            of_a = self.a.encode_batch_fast(part, add_special_tokens=False)
+            of_a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
             of_b = self.b.encode([s[1:] for s in part], num_threads=1)
-            for segment, a, b in zip(part, of_a, of_b, strict=True):
-                a, raw = a.ids, segment.encode()
-                a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-                fits = b"".join(a_parts) == raw and b"".join(b_parts) == raw
-                found.append(align(a, b, a_parts, b_parts, self.same) if fits else None)
+            raw = [s.encode() for s in part]
+            fits = given_back(of_a, self.a_bytes, raw) & given_back(of_b, self.b_bytes, raw)
+            good = np.flatnonzero(fits).tolist()
+            aligned = iter(align([of_a[i] for i in good], [of_b[i] for i in good], self))
+            found += [next(aligned) if ok else None for ok in fits.tolist()]
         return found
 
+    @cached_property
+    def tables(self) -> "Tables":
+        return Tables(
+            np.array([len(x) for x in self.a_bytes], dtype=np.int64),
+            np.array([len(x) for x in self.b_bytes], dtype=np.int64),
+            np.array(self.same, dtype=np.int64),
+            np.array([[f"{i},", f"{i}|"] for i in range(len(self.a_bytes))], dtype=object),
+            np.array([[f"{i},", f"{i};"] for i in range(len(self.b_bytes))], dtype=object),
+        )
+
+
+@dataclass
+class Tables:
+    """By id: bytes of the tokens of A and of B, ``same``, and ids as text, inside and at the end of a group."""
+
+    a_size: np.ndarray
+    b_size: np.ndarray
+    same: np.ndarray
+    a_text: np.ndarray
+    b_text: np.ndarray
+
+
+def given_back(ids: list[list[int]], token_bytes: list[bytes], raw: list[bytes]) -> np.ndarray:
+    """Which of the tokenizations give their bytes back."""
+    return np.array([b"".join([token_bytes[i] for i in own]) == text for own, text in zip(ids, raw, strict=True)], dtype=bool)
+
 
 def load_tokenizers(a_path: str, b_path: str) -> Tokenizers:
     with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
         return Tokenizers(a.read(), b.read())
 
 
-def align(a: list[int], b: list[int], a_parts: list[bytes], b_parts: list[bytes], same: list[int]) -> Segment:
-    """Groups and links of two tokenizations of the same bytes. Between two neighbouring ends lies one link."""
-    groups, exact, pairs = [], [], []
-    i = j = first_a = first_b = n_links = 0
-    end_a = len(a_parts[0]) if a else 0
-    end_b = len(b_parts[0]) if b else 0
-    while i < len(a):
-        n_links += 1
-        if end_a == end_b:
-            if i == first_a and j == first_b and same[a[i]] == b[j]:
-                exact.append(a[i])
-            else:
-                pairs.append(a[i] << SHIFT | b[j])
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            first_a, first_b = i, j
-            if i < len(a):
-                end_a += len(a_parts[i])
-                end_b += len(b_parts[j])
-            continue
-        pairs.append(a[i] << SHIFT | b[j])
-        if end_a < end_b:
-            i += 1
-            end_a += len(a_parts[i])
-        else:
-            j += 1
-            end_b += len(b_parts[j])
-    return Segment(len(a), len(b), len(groups), n_links, ";".join(groups), tuple(exact), tuple(pairs))
+def align(of_a: list[list[int]], of_b: list[list[int]], models: Tokenizers) -> list[Segment]:
+    """Groups and links of pairs of tokenizations of the same bytes, none of them empty, worked out for all at once.
+
+    The pairs are laid end to end, so that ends of tokens are byte offsets in one sequence. Between two neighbouring
+    ends lies one link; an end of both cuts a group.
+    """
+    if not of_a:
+        return []
+    tables = models.tables
+    n_a, n_b = np.array([len(x) for x in of_a]), np.array([len(x) for x in of_b])
+    a = np.fromiter(chain.from_iterable(of_a), np.int64, n_a.sum())
+    b = np.fromiter(chain.from_iterable(of_b), np.int64, n_b.sum())
+    ends_a, ends_b = np.cumsum(tables.a_size[a]), np.cumsum(tables.b_size[b])
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    ends = np.union1d(ends_a, ends_b)
+    link_a, link_b = a[np.searchsorted(ends_a, ends)], b[np.searchsorted(ends_b, ends)]
+    group = np.searchsorted(cuts, ends)
+    alone = np.bincount(group, minlength=len(cuts))[group] == 1
+    exact = alone & (tables.same[link_a] == link_b)
+
+    # the groups as text: of each group the ids of A, then those of B
+    group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+    text = np.empty(len(a) + len(b), dtype=object)
+    text[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = tables.a_text[a, (cuts[group_a] == ends_a).astype(int)]
+    text[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = tables.b_text[b, (cuts[group_b] == ends_b).astype(int)]
+    text = text.tolist()
+
+    upto = ends_a[np.cumsum(n_a) - 1]
+    n_groups = np.diff(np.searchsorted(cuts, upto, "right"), prepend=0)
+    last_link = np.searchsorted(ends, upto, "right")
+    n_links = np.diff(last_link, prepend=0)
+    exact_before, pairs_before = np.concatenate([[0], np.cumsum(exact)]), np.concatenate([[0], np.cumsum(~exact)])
+    exact_ids, pair_ids = link_a[exact].tolist(), (link_a << SHIFT | link_b)[~exact].tolist()
+    exact_at, pairs_at = exact_before[last_link].tolist(), pairs_before[last_link].tolist()
+    text_at = np.cumsum(n_a + n_b).tolist()
+    out = []
+    e = p = t = 0
+    for own_a, own_b, groups, links, e_end, p_end, t_end in zip(
+        n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), exact_at, pairs_at, text_at, strict=True
+    ):
+        joined = "".join(text[t:t_end])[:-1]
+        out.append(Segment(own_a, own_b, groups, links, joined, tuple(exact_ids[e:e_end]), tuple(pair_ids[p:p_end])))
+        e, p, t = e_end, p_end, t_end
+    return out
 
 
 class Aligner:
@@ -189,104 +231,112 @@ class Aligner:
         return out
 
 
-def _count(models):
+ALIGNED_FIELDS = (
+    "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, exact array<int>, pairs array<long>"
+)
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+
+
+def lists(values: list, of: pa.DataType) -> pa.ListArray:
+    """A list column from one sequence per row."""
+    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])])
+    flat = np.fromiter(chain.from_iterable(values), np.int64, offsets[-1])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat).cast(of))
+
+
+def per_row(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all rows end to end, where each row starts and the last ends) of a list column."""
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
+
+
+def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    before = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[starts]
+    return before[1:] - before[:-1]
+
+
+def _aligned(models):
     def run(batches):
         aligner = Aligner(models.value)
-        vector = np.zeros(len(aligner.models.same), dtype=np.int64)
-        pairs: Counter[int] = Counter()
-        schema = pa.schema([("pair", pa.int64()), ("n", pa.int64()), ("same", pa.bool_())])
+        for batch in batches:
+            texts = [as_text(t) for t in batch.column(1).to_pylist()]
+            for start, end in text_blocks(texts, BLOCK_CHARS):
+                rows = aligner.texts(texts[start:end])
+                numbers = [
+                    list(map(sum, zip(*[(s.n_a, s.n_b, s.n_groups, s.n_links) for s in own], strict=True))) or [0] * 4 for own in rows
+                ]
+                digests = [hashlib.sha256(";".join([s.groups for s in own]).encode()).hexdigest() if own else "" for own in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(start, end - start),
+                        *(pa.array(column, pa.int64()) for column in zip(*numbers, strict=True)),
+                        pa.array(digests, pa.string()),
+                        lists([list(chain.from_iterable([s.exact for s in own])) for own in rows], pa.int32()),
+                        lists([list(chain.from_iterable([s.pairs for s in own])) for own in rows], pa.int64()),
+                    ],
+                    names=["doc_id", *NUMBERS, "groups_sha256", "exact", "pairs"],
+                )
 
-        def rows(keys, counts, same):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array([same] * len(keys), pa.bool_())], schema=schema
-            )
+    return run
+
+
+def _count(same):
+    def run(batches):
+        known = same.value
+        vector = np.zeros(len(known), dtype=np.int64)
+        held = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+        def rows(keys, counts, regular):
+            names = ["pair", "n", "same"]
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts), pa.array(np.full(len(keys), regular))], names=names)
 
         for batch in batches:
-            texts = [as_text(t) for t in batch.column(0).to_pylist()]
-            for start, end in text_blocks(texts, BLOCK_CHARS):
-                tally = Counter(s for own in aligner.texts(texts[start:end]) for s in own)
-                for segment, times in tally.items():
-                    for a in segment.exact:
-                        vector[a] += times
-                    for pair in segment.pairs:
-                        pairs[pair] += times
-                if len(pairs) > FLUSH_PAIRS:
-                    yield rows(list(pairs), list(pairs.values()), False)
-                    pairs.clear()
+            vector += np.bincount(per_row(batch.column(0))[0], minlength=len(vector))
+            keys, counts = np.unique(per_row(batch.column(1))[0], return_counts=True)
+            merged, place = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
+            total = np.zeros(len(merged), dtype=np.int64)
+            np.add.at(total, place, np.concatenate([held[1], counts]))
+            held = merged, total
+            if len(merged) > FLUSH_PAIRS:
+                yield rows(*held, False)
+                held = held[0][:0], held[1][:0]
         at = np.flatnonzero(vector)
-        keys = [int(a) << SHIFT | aligner.models.same[a] for a in at]
-        yield rows(keys, vector[at], True)
-        yield rows(list(pairs), list(pairs.values()), False)
+        yield rows(at << SHIFT | known[at], vector[at], True)
+        yield rows(*held, False)
 
     return run
 
 
 @dataclass
 class Totals:
-    """Corpus-wide counts: of the ``same`` pair of each A id, the highest of each B id, and of the heavy pairs."""
+    """Corpus-wide counts: of the ``same`` pair of each A id, the highest of each B id, and of the heavy pairs, sorted."""
 
     same: np.ndarray
     best: np.ndarray
-    heavy: dict[int, int]
-
-    def price(self, segment: Segment, same: list[int]) -> tuple[int, int, tuple[int, ...]]:
-        """(links at their B id's best count, sum of counts, pairs whose count is not here)."""
-        n_best = count_sum = 0
-        cold = []
-        for a in segment.exact:
-            n = int(self.same[a])
-            count_sum += n
-            n_best += n == self.best[same[a]]
-        for pair in segment.pairs:
-            n = self.heavy.get(pair)
-            if n is None:
-                cold.append(pair)
-            else:
-                count_sum += n
-                n_best += n == int(self.best[pair & 0xFFFFFFFF])
-        return n_best, count_sum, tuple(cold)
-
-
-DOC_FIELDS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, cold array<long>"
-
-
-def _measure(models, totals):
+    heavy: np.ndarray
+    heavy_n: np.ndarray
+
+
+def _priced(same, totals):
     def run(batches):
-        aligner, known = Aligner(models.value), totals.value
-        same = aligner.models.same
-        prices: dict[Segment, tuple] = {}
+        known, to_b = totals.value, same.value
         for batch in batches:
-            texts = [as_text(t) for t in batch.column(1).to_pylist()]
-            for start, end in text_blocks(texts, BLOCK_CHARS):
-                rows = []
-                for own in aligner.texts(texts[start:end]):
-                    if not own:
-                        rows.append((0, 0, 0, 0, "", 0, 0, []))
-                        continue
-                    n_a = n_b = n_groups = n_links = n_best = count_sum = 0
-                    cold: list[int] = []
-                    for s in own:
-                        price = prices.get(s)
-                        if price is None:
-                            price = known.price(s, same)
-                            if s.n_a <= CACHED_CHARS:
-                                prices[s] = price
-                        n_a += s.n_a
-                        n_b += s.n_b
-                        n_groups += s.n_groups
-                        n_links += s.n_links
-                        n_best += price[0]
-                        count_sum += price[1]
-                        cold += price[2]
-                    digest = hashlib.sha256(";".join([s.groups for s in own]).encode()).hexdigest()
-                    rows.append((n_a, n_b, n_groups, n_links, digest, n_best, count_sum, cold))
-                if len(prices) > CACHED_SEGMENTS:
-                    prices.clear()
-                columns = list(zip(*rows, strict=True))
-                kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-                names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum", "cold"]
-                values = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), *values], names=names)
+            exact, exact_at = per_row(batch.column("exact"))
+            pairs, pairs_at = per_row(batch.column("pairs"))
+            n = known.same[exact]
+            n_best, count_sum = sums(n == known.best[to_b[exact]], exact_at), sums(n, exact_at)
+            place = np.minimum(np.searchsorted(known.heavy, pairs), max(0, len(known.heavy) - 1))
+            found = known.heavy[place] == pairs if len(known.heavy) else np.zeros(len(pairs), dtype=bool)
+            n = np.where(found, known.heavy_n[place], 0) if len(known.heavy) else np.zeros(len(pairs), dtype=np.int64)
+            n_best += sums(found & (n == known.best[pairs & 0xFFFFFFFF]), pairs_at)
+            count_sum += sums(n, pairs_at)
+            cold_at = np.concatenate([[0], np.cumsum(sums(~found, pairs_at))])
+            cold = pa.ListArray.from_arrays(pa.array(cold_at, pa.int32()), pa.array(pairs[~found], pa.int64()))
+            kept = [c for c in batch.schema.names if c not in ("exact", "pairs")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), pa.array(n_best), pa.array(count_sum), cold],
+                names=[*kept, "n_best", "count_sum", "cold"],
+            )
 
     return run
 
@@ -307,13 +357,14 @@ def _totals(pairs: DataFrame, models: Tokenizers, heavy: int) -> Totals:
             break
         least = row.level
     same = np.zeros(a_size, dtype=np.int64)
-    frequent = {}
+    frequent = []
     chosen = F.col("same") if least is None else F.col("same") | (F.col("n") >= F.lit(least))
     for row in pairs.where(chosen).collect():
         if row.same:
             same[row.pair >> SHIFT] = row.n
-        frequent[row.pair] = row.n
-    return Totals(same, best, frequent)
+        frequent.append((row.pair, row.n))
+    table = np.array(sorted(frequent), dtype=np.int64).reshape(-1, 2)
+    return Totals(same, best, table[:, 0].copy(), table[:, 1].copy())
 
 
 def align_corpus(
@@ -327,14 +378,16 @@ def align_corpus(
     repeated ids keep their own results; other columns are not read. An empty table gives no rows. ``heavy`` only
     decides which pairs are handed out and which are joined.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    broadcast = docs.sparkSession.sparkContext.broadcast
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = texts.select("text").mapInArrow(_count(shared), "pair long, n long, same boolean")
+    aligned = texts.mapInArrow(_aligned(broadcast(models)), ALIGNED_FIELDS)
+    aligned = stage(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
+    same = broadcast(np.array(models.same, dtype=np.int64))
+    counted = aligned.select("exact", "pairs").mapInArrow(_count(same), "pair long, n long, same boolean")
     pairs = stage(counted.groupBy("pair").agg(F.sum("n").alias("n"), F.max("same").alias("same")), "pairs")
-    totals = docs.sparkSession.sparkContext.broadcast(_totals(pairs, models, heavy))
-    rows = stage(
-        texts.mapInArrow(_measure(shared, totals), DOC_FIELDS).withColumn("row", F.monotonically_increasing_id()), "aligned"
-    )
+    totals = broadcast(_totals(pairs, models, heavy))
+    fields = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, row long"
+    rows = stage(aligned.mapInArrow(_priced(same, totals), f"{fields}, n_best long, count_sum long, cold array<long>"), "priced")
     best = pairs.groupBy((F.col("pair") % (1 << SHIFT)).alias("b")).agg(F.max("n").alias("most"))
     cold = rows.select("row", F.explode("cold").alias("pair")).groupBy("row", "pair").agg(F.count(F.lit(1)).alias("times"))
     priced = (
