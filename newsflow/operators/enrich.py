@@ -76,27 +76,39 @@ def _truth(value: Column) -> Column:
     return F.when(low.isin(*TRUE_TEXTS), True).when(low.isin(*FALSE_TEXTS), False)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` reads it, also inside conditions."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_analysis(response: Column) -> Column:
     """JSON response to a checked analysis; malformed or incomplete text, or a field of another type, gives null.
 
     Texts must be JSON strings and investors a list of them; a null list counts as empty.
     """
-    found = F.try_parse_json(response)
-    parsed = F.from_json(response, ANALYSIS)
-    strict, fields = F.lit(True), []
-    for f in ANALYSIS:
-        value = F.try_variant_get(found, f"$.{f.name}", "variant")
-        kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-        kept = parsed[f.name]
-        if f.name == "investment_relevant":
-            kept = _truth(F.try_variant_get(found, f"$.{f.name}", "string"))
-        elif f.name == "investors":
-            strict &= kind.isin("VOID", "ARRAY<VOID>", "ARRAY<STRING>")
-            strict &= ~F.coalesce(F.exists(kept, lambda x: x.isNull()), F.lit(False))
-        else:
-            strict &= kind.isin("VOID", "STRING")
-        fields.append(kept.alias(f.name))
-    return F.when(strict, checked_analysis(F.struct(*fields)))
+    paths = {f.name: f"$.{f.name}" for f in ANALYSIS}
+
+    def typed(values: Column) -> Column:
+        strict, fields = F.lit(True), []
+        for f in ANALYSIS:
+            value = values[f.name]
+            kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+            kept = F.try_variant_get(value, "$", f.dataType.simpleString())
+            if f.name == "investment_relevant":
+                kept = _truth(F.try_variant_get(value, "$", "string"))
+            elif f.name == "investors":
+                strict &= kind.isin("VOID", "ARRAY<VOID>", "ARRAY<STRING>")
+                strict &= ~F.coalesce(F.exists(kept, lambda x: x.isNull()), F.lit(False))
+            else:
+                strict &= kind.isin("VOID", "STRING")
+            fields.append(kept.alias(f.name))
+        return F.when(strict, F.struct(*fields))
+
+    def fields_of(found: Column) -> Column:
+        return F.struct(*[F.try_variant_get(found, path, "variant").alias(name) for name, path in paths.items()])
+
+    values = _once(F.try_parse_json(response), fields_of)
+    return _once(_once(values, typed), checked_analysis)
 
 
 def analyze(df: DataFrame, prompt: Column, analyzer_factory: Callable[[], Analyzer] | None) -> DataFrame:

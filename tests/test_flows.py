@@ -521,3 +521,16 @@ def test_fold_overlapping_batches(spark, tmp_path):
     merged = upsert.upsert_articles(table.read(), incoming)
     table.rewrite(upsert.assign_ids(merged, table.read()))
     assert sorted((r.id, r.title) for r in table.read().collect()) == [(1, "new"), (2, "new"), (3, "C1")]
+
+
+def test_parse_analysis_of_unusual_json(spark):
+    whole = '{"summary":"s","investment_relevant":true,"event_type":"other"'
+    texts = [
+        whole + ',"company":"é \\u00e9 \\"q\\"","investors":["a","b"]}', whole + ',"investors":[]}', whole + ',"investors":null}',
+        whole + ',"investors":[null]}', whole + ',"investors":["a",null]}', whole + ',"investors":"a"}', whole + ',"company":{"x":1}}',
+        "[" + whole + "}]", whole + ',"summary":"again"}', whole, "null", "", None, whole + ',"other":[1,{"a":2}]}',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    got = [r.a for r in df.select("i", enrich.parse_analysis(F.col("t")).alias("a")).orderBy("i").collect()]
+    assert [i for i, a in enumerate(got) if a is not None] == [0, 1, 2, 13]
+    assert got[0].company == 'é é "q"' and got[0].investors == ["a", "b"] and got[1].investors == [] and got[2].investors == []
