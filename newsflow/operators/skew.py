@@ -108,13 +108,16 @@ def wide_lookup(
     spread: str | Column,
     hot_rows: int = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
     """Inner look-up into a table of wide rows, such as page bodies. ``left`` should be a staged table.
 
+    ``also`` names columns of both sides that follow from the key, such as the folder a row is stored in.
+
     A left side that measures small is broadcast, so that the wide table is filtered where it is scanned
     and never shuffled. A larger one takes the salted join.
     """
-    columns = [*left.columns, *[c for c in right.columns if c != key]]
+    columns = [*left.columns, *[c for c in right.columns if c not in (key, *also)]]
     if data_size(left) <= broadcast_bytes:
-        return right.join(F.broadcast(left), key).select(*columns)
-    return lookup_join(left, right, key, spread, "inner", hot_rows=hot_rows).select(*columns)
+        return right.join(F.broadcast(left), [key, *also]).select(*columns)
+    return lookup_join(left, right.drop(*also), key, spread, "inner", hot_rows=hot_rows).select(*columns)

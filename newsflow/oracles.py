@@ -229,6 +229,10 @@ SELECT page_id, CASE WHEN title IN ('', 'Unknown Title') THEN url ELSE title END
 FROM (SELECT page_id, url, {page_title('html')} AS title, {page_content('html')} AS content FROM pages)""",
     "page_scan": """
 SELECT url, CASE WHEN coalesce(html, '') <> '' THEN 200 ELSE 0 END AS http_status, length(html) AS n_chars FROM pages""",
+    "bucketed_page_lookup": f"""
+WITH {ENTRIES}
+SELECT e.pos, e.url, CASE WHEN coalesce(p.html, '') <> '' THEN 200 ELSE 0 END AS http_status, length(p.html) AS n_chars
+FROM entries e JOIN pages p ON p.url = e.url""",
     "content_choice": f"""
 SELECT * FROM (
   SELECT page_id,

@@ -17,27 +17,28 @@ from newsflow.operators.records import (
     raw_body_feed,
     raw_records,
 )
-from newsflow.operators.skew import HOT_ROWS, wide_lookup
-from newsflow.plans.flow import Walk, fold_copies, in_order, records_of, walk, with_landing_time, with_unmatched
+from newsflow.operators.skew import HOT_ROWS
+from newsflow.plans.flow import (
+    FIRST_RANGE,
+    Walk,
+    fold_copies,
+    in_order,
+    records_of,
+    walk,
+    walk_ranges,
+    with_landing_time,
+    with_unmatched,
+)
 from newsflow.session import stage
+from newsflow.sources.landing import page_lookup
 
 
-def feed_candidates(
-    entries: DataFrame,
-    pages: DataFrame,
-    seen: DataFrame | None,
-    run_ts: dt.datetime,
-    source: str = SOURCE_FEED,
-    title_selector=TITLE_SELECTOR,
-    content_selectors=CONTENT_SELECTORS,
-    raw: bool = False,
-    hot_rows: int = HOT_ROWS,
+def feed_listing(
+    entries: DataFrame, seen: DataFrame | None, source: str = SOURCE_FEED, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Every new entry with its extracted article and ``ok``.
+    """New entries, staged, in the order of ``feed_file`` (if given) and ``feed_pos``, which may repeat.
 
-    Known keys are dropped before pages are joined, so their bodies are neither moved nor parsed. Entries are
-    walked by ``feed_file`` (if given) and ``feed_pos``, which may repeat. A page that landed twice counts once.
-    In raw mode every entry is ok; otherwise the page must have a body, a readable date and a usable URL.
+    Known keys are dropped here, so the bodies of their pages are neither moved nor parsed.
     """
     listed = entries.select(
         F.lit(source).alias("source"),
@@ -50,7 +51,23 @@ def feed_candidates(
     listed = in_order(listed, "feed_file", "feed_pos")
     if seen is not None:
         listed = stage(only_new(listed, seen, hot_rows=hot_rows), "new")
-    landed = wide_lookup(listed, with_landing_time(pages), "url", "pos", hot_rows)
+    return listed
+
+
+def feed_candidates(
+    listed: DataFrame,
+    pages: DataFrame,
+    run_ts: dt.datetime,
+    title_selector=TITLE_SELECTOR,
+    content_selectors=CONTENT_SELECTORS,
+    raw: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Every listed entry with its extracted article and ``ok``. A page that landed twice counts once.
+
+    In raw mode every entry is ok; otherwise the page must have a body, a readable date and a usable URL.
+    """
+    landed = page_lookup(listed, with_landing_time(pages), "url", "pos", hot_rows)
     found = with_article(landed, "html", title_selector, content_selectors)
     dated = F.col("published_at").isNotNull()
     found = found.withColumn("published_at", parse_page_date(F.col("published_raw"), run_ts))
@@ -77,11 +94,31 @@ def feed_candidates(
     )
 
 
-def feed_walk(entries, pages, seen, run_ts, limit=None, raw=False, hot_rows=HOT_ROWS, **options) -> Walk:
-    """One run over the feed; in raw mode entries without a page are kept and also counted as errors."""
-    candidates = feed_candidates(entries, pages, seen, run_ts, raw=raw, hot_rows=hot_rows, **options)
+def feed_walk(
+    entries: DataFrame,
+    pages: DataFrame,
+    seen: DataFrame | None,
+    run_ts: dt.datetime,
+    limit: int | None = None,
+    raw: bool = False,
+    source: str = SOURCE_FEED,
+    hot_rows: int = HOT_ROWS,
+    first_range: int = FIRST_RANGE,
+    **selectors,
+) -> Walk:
+    """One run over the feed; in raw mode entries without a page are kept and also counted as errors.
+
+    With a ``limit`` entries are looked up and parsed range by range, until it is met.
+    """
+    listed = feed_listing(entries, seen, source, hot_rows)
     failed = ~F.col("has_page") if raw else None
-    return walk(candidates, limit, failed, hot_rows)
+
+    def candidates(part: DataFrame) -> DataFrame:
+        return feed_candidates(part, pages, run_ts, raw=raw, hot_rows=hot_rows, **selectors)
+
+    if limit is None:
+        return walk(candidates(listed), None, failed, hot_rows)
+    return walk_ranges(listed, candidates, limit, failed, hot_rows, first_range)
 
 
 def feed_records(done: Walk, run_ts: dt.datetime, **analysis) -> DataFrame:

@@ -31,6 +31,8 @@ from newsflow.sources.sinks import (
 )
 
 CARRIED = ("canonical_key", "pos")
+#: Rows of the first range that a run with a quota looks at, unless the quota asks for more.
+FIRST_RANGE = 1024
 
 
 @dataclasses.dataclass(frozen=True)
@@ -60,11 +62,38 @@ def walk(
     thin = candidates.select("source", "canonical_key", "pos", "ok")
     decided = with_status(thin, hot_rows=hot_rows)
     if limit is not None:
-        decided = take_successes(stage(decided, "status"), limit)
+        decided = stage(take_successes(stage(decided, "status"), limit), "visited")
     visited = candidates.join(decided.select("pos", "status"), "pos")
     return Walk(visited, failed)
 
 
+def walk_ranges(
+    listed: DataFrame,
+    candidates: Callable[[DataFrame], DataFrame],
+    limit: int,
+    failed: Column | None = None,
+    hot_rows: int = HOT_ROWS,
+    first: int = FIRST_RANGE,
+) -> Walk:
+    """The walk over ``listed`` (staged, of one source, in ``pos`` order) that stops at the quota.
+
+    ``candidates`` looks up and parses a part of the listing. It gets the first rows, at least twice the quota,
+    then ranges that double, until enough rows were accepted: what comes later is neither fetched nor parsed, and
+    there are at most as many rounds as doublings. A row's status depends on earlier positions alone, so the rows
+    seen so far, decided together, give what a walk over all of them gives. One number per round reaches the driver.
+    """
+    ranked = stage(with_prior_count(listed, "pos", out="_rank"), "ranked")
+    total, start, size, looked_at = ranked.count(), 0, max(first, 2 * limit), None
+    while True:
+        part = ranked.where((F.col("_rank") >= start) & (F.col("_rank") < start + size)).drop("_rank")
+        found = candidates(part)
+        looked_at = found if looked_at is None else looked_at.unionByName(found)
+        walked = walk(looked_at, limit, failed, hot_rows)
+        start, size = start + size, 2 * size
+        if start >= total or walked.accepted.count() >= limit:
+            return walked
+
+
 def in_order(listed: DataFrame, *order: str) -> DataFrame:
     """``listed`` with ``pos``, which is unique and follows ``order``, instead of the columns ``order``; staged.
 

@@ -11,9 +11,10 @@ from newsflow.functions.times import epoch_to_utc, isoformat
 from newsflow.functions.urls import canonical_key, is_http_url
 from newsflow.operators.dedupe import only_new
 from newsflow.operators.records import chosen_content, is_missing, item_url, ranked_metadata, raw_records
-from newsflow.operators.skew import HOT_ROWS, wide_lookup
+from newsflow.operators.skew import HOT_ROWS
 from newsflow.plans.flow import Walk, fold_copies, in_order, records_of, walk, with_landing_time, with_unmatched
 from newsflow.session import stage
+from newsflow.sources.landing import page_lookup
 from newsflow.sources.readers import with_items
 
 
@@ -63,7 +64,7 @@ def ranked_candidates(
     links_out = ~is_missing(F.col("page_url"))
     linked = listed.where(links_out).drop("item_text")
     bodies = with_landing_time(pages).withColumnRenamed("url", "page_url")
-    landed = wide_lookup(linked, bodies, "page_url", "pos", hot_rows)
+    landed = page_lookup(linked, bodies, "page_url", "pos", hot_rows)
     found = landed.withColumn("page_text", html_to_text(F.col("html"))).withColumn("item_text", F.lit(None).cast("string"))
     found = found if raw else found.drop("html")
 

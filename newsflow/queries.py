@@ -12,7 +12,7 @@ from newsflow.operators.extract import with_article
 from newsflow.plans import feed, ranked
 from newsflow.schemas import ANALYSIS, ARTICLES, RAW_RECORD, STORY_ITEM
 from newsflow.session import scratch_path, stage
-from newsflow.sources import readers, sinks
+from newsflow.sources import landing, readers, sinks
 from newsflow.streaming import ingest
 
 RUN_TS = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
@@ -624,6 +624,16 @@ def item_scan(spark, documents, pages):
     return readers.read_items(spark, path).select(STORY_ITEM.fieldNames())
 
 
+@given("pages")
+def bucketed_page_lookup(spark, pages):
+    """Pages landed in buckets, looked up by a listing that has every URL twice, once with another fragment."""
+    path = scratch_path(spark, "landed-pages")
+    landing.land_pages(pages.select("url", "html"), path, buckets=32)
+    listed = stage(page_entries(pages).select("pos", "url"), "listed")
+    found = landing.page_lookup(listed, readers.read_pages(spark, path), "url", "pos")
+    return found.select("pos", "url", "http_status", F.length("html").alias("n_chars"))
+
+
 # --- whole sources -----------------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from newsflow.operators.skew import lookup_join
 from newsflow.schemas import LANDED_PAGE, SEEN_FILE, SEEN_KEYS, STORY_ITEM
 from newsflow.schemas import schema as schema_of
+from newsflow.sources.landing import bucket_column
 
 CORRUPT = "_corrupt_record"
 
@@ -110,13 +111,14 @@ def with_items(ranked: DataFrame, items: DataFrame, spread: str = "pos", **kw) -
 
 
 def landed_pages(df: DataFrame) -> DataFrame:
-    """``(url, html, http_status)`` and ``landed_at`` if it is there. A landing without status counts as 200 if
+    """``(url, html, http_status)``, and ``landed_at`` and the bucket if they are there. A landing without status counts as 200 if
     it has a body, else 0."""
     if "http_status" not in df.columns:
         has_body = F.coalesce(F.col("html"), F.lit("")) != ""
         df = df.withColumn("http_status", F.when(has_body, 200).otherwise(0))
     landed_at = [F.col("landed_at").cast("timestamp")] if "landed_at" in df.columns else []
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in LANDED_PAGE], *landed_at)
+    bucket = [c for c in [bucket_column(df)] if c]
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in LANDED_PAGE], *landed_at, *bucket)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

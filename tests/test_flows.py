@@ -10,10 +10,12 @@ from newsflow import runs
 from newsflow.functions import times
 from newsflow.functions.urls import canonical_key
 from newsflow.operators import compare, enrich, upsert
-from newsflow.plans.feed import feed_raw_records, feed_records, feed_walk
+from newsflow.plans.feed import feed_candidates, feed_listing, feed_raw_records, feed_records, feed_walk
+from newsflow.plans.flow import walk_ranges
 from newsflow.plans.ranked import ranked_records, ranked_walk
 from newsflow.schemas import ARTICLES, FEED_ENTRY, LANDED_PAGE, OUTPUT_RECORD, RAW_RECORD, STORY_ITEM, schema
-from newsflow.sources import readers, sinks
+from newsflow.session import stage
+from newsflow.sources import landing, readers, sinks
 from newsflow.streaming import ingest
 
 RUN = dt.datetime(2026, 1, 2, 3, 4, 5)
@@ -249,6 +251,100 @@ def test_feed_quota(spark):
     assert (counts.items_processed, counts.errors) == (2, 3)
 
 
+def long_feed(spark, n=200):
+    """Every third entry has no page, every fifth repeats an earlier one."""
+    listed = spark.range(n).select(
+        F.col("id").alias("feed_pos"),
+        F.concat(F.lit("Entry "), "id").alias("title"),
+        F.concat(F.lit("https://e.com/"), F.expr("if(id % 5 = 4, id div 2, id)")).alias("link"),
+        F.lit(None).cast("string").alias("published"),
+    )
+    pages = spark.range(n).where("id % 3 != 1").select(
+        F.concat(F.lit("https://e.com/"), "id").alias("url"),
+        F.concat(F.lit("<p>body "), "id", F.lit("</p>")).alias("html"),
+        F.lit(200).alias("http_status"),
+    )
+    return listed, pages
+
+
+@pytest.mark.parametrize("limit", [0, 1, 7, 40, 1000])
+@pytest.mark.parametrize("raw", [False, True])
+def test_quota_in_ranges_equals_the_whole_walk(spark, limit, raw):
+    listed, pages = long_feed(spark)
+    ranges = feed_walk(listed, pages, None, RUN, limit=limit, raw=raw, first_range=3)
+    whole = feed_walk(listed, pages, None, RUN, limit=limit, raw=raw, first_range=1000)
+    rows = [sorted((r.pos, r.status, r.url) for r in w.visited.collect()) for w in (ranges, whole)]
+    assert rows[0] == rows[1] and sum(r[1] == "accepted" for r in rows[0]) <= limit
+    assert ranges.counters.collect() == whole.counters.collect()
+    if not raw and limit <= 40:  # the plain walk, entry by entry
+        seen, plain = set(), []
+        for i in range(200 if limit else 0):
+            key = i // 2 if i % 5 == 4 else i
+            status = "duplicate" if key in seen else "error" if key % 3 == 1 else "accepted"
+            plain.append((i, status, f"https://e.com/{key}"))
+            seen |= {key} if status == "accepted" else set()
+            if len(seen) == limit:
+                break
+        assert rows[0] == plain
+
+
+def test_quota_leaves_later_ranges_unread(spark):
+    listed, pages = long_feed(spark)
+    looked_up = []
+
+    def candidates(part):
+        looked_up.append([r.pos for r in part.select("pos").collect()])
+        return feed_candidates(part, pages, RUN)
+
+    walk_ranges(feed_listing(listed, None), candidates, 5, first=4)
+    assert [sorted(p) for p in looked_up] == [list(range(10))]
+    looked_up.clear()
+    walk_ranges(feed_listing(listed, None), candidates, 30, first=4)
+    assert [(min(p), max(p)) for p in looked_up] == [(0, 59)]
+    empty = walk_ranges(feed_listing(listed.limit(0), None), candidates, 5)
+    assert empty.visited.count() == 0
+
+
+def test_bucketed_pages_give_the_same_run(spark, tmp_path):
+    entries, pages, seen = feed_case(spark)
+    landing.land_pages(pages.unionByName(pages.limit(1).withColumn("url", F.lit(None))), str(tmp_path / "pages"), buckets=4)
+    bucketed = readers.read_pages(spark, str(tmp_path / "pages"))
+    rows = [
+        sorted((r.pos, r.title, r.article_hash) for r in feed_records(feed_walk(entries, p, seen, RUN), RUN).collect())
+        for p in (pages, bucketed)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
+
+
+def test_lookup_opens_the_buckets_of_its_listing_only(spark, tmp_path):
+    path = tmp_path / "pages"
+    urls = spark.range(64).select(F.concat(F.lit("https://e.com/"), "id").alias("url"), F.lit("<p>x</p>").alias("html"))
+    landing.land_pages(urls, str(path), buckets=16)
+    listed = stage(urls.limit(2).select("url", F.xxhash64("url").alias("pos")), "listed")
+    wanted = {r.b for r in listed.select(landing.url_bucket(F.col("url"), 16).alias("b")).collect()}
+    pages = readers.read_pages(spark, str(path))
+    found = landing.page_lookup(listed, pages, "url", "pos")
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(found.columns) == ["html", "http_status", "landed_at", "pos", "url"]
+    for folder in path.glob("url_bucket_of_16=*"):
+        if int(folder.name.split("=")[1]) not in wanted:
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"x" * file.stat().st_size)
+    assert found.count() == 2 and found.where("html = '<p>x</p>'").count() == 2
+    with pytest.raises(Exception):
+        pages.where("html = '<p>x</p>'").count()
+    everything = landing.page_lookup(listed, urls, "url", "pos", broadcast_bytes=0)
+    assert everything.count() == 2
+
+
+def test_large_listing_in_buckets_is_joined_by_url(spark, tmp_path):
+    urls = spark.range(40).select(F.concat(F.lit("https://e.com/"), F.col("id") % 30).alias("url"), F.lit("<p>x</p>").alias("html"))
+    landing.land_pages(urls.dropDuplicates(["url"]), str(tmp_path / "pages"), buckets=4)
+    listed = stage(urls.select("url", F.monotonically_increasing_id().alias("pos")), "listed")
+    found = landing.page_lookup(listed, readers.read_pages(spark, str(tmp_path / "pages")), "url", "pos", 1, 0)
+    assert found.count() == 40 and "url_bucket_of_4" not in found.columns
+
+
 def test_feed_raw_run(spark):
     done = feed_walk(*feed_case(spark), RUN, raw=True)
     rows = {r.pos: r for r in feed_raw_records(done, RUN).collect()}
