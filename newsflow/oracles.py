@@ -100,6 +100,17 @@ variants AS (
   UNION ALL SELECT page_id, 4, substr(url, strpos(url, '://') + 1) FROM pages)
 """
 
+RUN_ROWS = """
+run_rows AS (
+  SELECT wave, doc_id AS pos,
+         sha256(coalesce(text, '') || if(wave = 1 OR coalesce(lang IN ('en', 'fr'), false), '', '+')) AS k,
+         'source ' || wave || ' ' || doc_id AS source, 'title ' || wave || ' ' || doc_id AS title,
+         'https://news.example.org/' || wave || ' ' || doc_id AS url,
+         CASE WHEN doc_id % 3 <> wave THEN wave || ' ' || doc_id END AS company,
+         '2026-01-0' || wave || 'T00:00:00' AS inserted_at
+  FROM documents, (SELECT unnest([1, 2]) AS wave))"""
+FIRST = "min(pos) AS pos, arg_min(struct_pack(source := source, url := url, inserted_at := inserted_at), pos) AS kept"
+LAST = "arg_max(struct_pack(title := title, company := company), pos) AS upd"
 ENTRIES = f"""
 entries AS (
   SELECT page_id * 2 AS pos, page_id, 0 AS copy, url, html FROM pages
@@ -233,6 +244,28 @@ SELECT url, CASE WHEN coalesce(html, '') <> '' THEN 200 ELSE 0 END AS http_statu
 WITH {ENTRIES}
 SELECT e.pos, e.url, CASE WHEN coalesce(p.html, '') <> '' THEN 200 ELSE 0 END AS http_status, length(p.html) AS n_chars
 FROM entries e JOIN pages p ON p.url = e.url""",
+    "upsert_runs": f"""
+WITH {RUN_ROWS},
+a AS (SELECT k, {FIRST}, {LAST} FROM run_rows WHERE wave = 1 GROUP BY k),
+b AS (SELECT k, {FIRST}, {LAST} FROM run_rows WHERE wave = 2 GROUP BY k),
+old AS (SELECT *, row_number() OVER (ORDER BY pos) AS id FROM a),
+added AS (SELECT *, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY pos) AS id FROM b WHERE k NOT IN (SELECT k FROM a))
+SELECT old.id, old.k AS canonical_key, old.kept.source, if(b.k IS NULL, old.upd.title, b.upd.title) AS title, old.kept.url,
+       if(b.k IS NULL, old.upd.company, b.upd.company) AS company, old.kept.inserted_at
+FROM old LEFT JOIN b ON b.k = old.k
+UNION ALL SELECT id, k, kept.source, upd.title, kept.url, upd.company, kept.inserted_at FROM added""",
+    "fold_articles": f"""
+WITH {RUN_ROWS},
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY inserted_at, pos) AS up,
+         row_number() OVER (PARTITION BY k ORDER BY inserted_at DESC, pos DESC) AS down FROM run_rows),
+folded AS (
+  SELECT f.k, f.pos + 1 AS id, f.source, f.url, f.inserted_at, l.title, l.company
+  FROM placed f JOIN placed l ON l.k = f.k AND l.down = 1 WHERE f.up = 1),
+owned AS (SELECT *, k = min(k) OVER (PARTITION BY id) AS owner FROM folded),
+late AS (SELECT k, row_number() OVER (ORDER BY inserted_at, id, k) AS place FROM owned WHERE NOT owner)
+SELECT coalesce((SELECT max(id) FROM folded) + place, id) AS id, k AS canonical_key, source, title, url, company, inserted_at
+FROM owned LEFT JOIN late USING (k)""",
     "content_choice": f"""
 SELECT * FROM (
   SELECT page_id,

@@ -19,6 +19,7 @@ from newsflow.operators.records import to_json_record
 from newsflow.operators.skew import HOT_ROWS
 from newsflow.schemas import RAW_RECORD
 from newsflow.session import stage
+from newsflow.sources.keyed import KeyedArticles
 from newsflow.sources.readers import read_jsonl_batches
 from newsflow.sources.sinks import (
     FAILED,
@@ -51,20 +52,24 @@ class Walk:
         return run_counters(self.visited, failed=self.failed)
 
 
+def decide(candidates: DataFrame, limit: int | None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``pos`` and ``status`` of the candidates (``source, canonical_key, pos, ok``) that the quota lets a run visit:
+    first-wins dedupe, then the quota. Works on four thin columns; staged if there is a quota."""
+    thin = candidates.select("source", "canonical_key", "pos", "ok")
+    decided = with_status(thin, hot_rows=hot_rows)
+    if limit is not None:
+        decided = stage(take_successes(stage(decided, "status"), limit), "visited")
+    return decided.select("pos", "status")
+
+
 def walk(
     candidates: DataFrame, limit: int | None, failed: Column | None = None, hot_rows: int = HOT_ROWS
 ) -> Walk:
-    """Decide every candidate (``source, canonical_key, pos, ok``): first-wins dedupe, then the quota.
+    """Decide every candidate. ``candidates`` are staged already.
 
-    ``candidates`` are staged already. The status is worked out on four thin columns and joined back by
-    position, which is unique, so bodies are shuffled once and evenly.
+    The status is joined back by position, which is unique, so bodies are shuffled once and evenly.
     """
-    thin = candidates.select("source", "canonical_key", "pos", "ok")
-    decided = with_status(thin, hot_rows=hot_rows)
-    if limit is not None:
-        decided = stage(take_successes(stage(decided, "status"), limit), "visited")
-    visited = candidates.join(decided.select("pos", "status"), "pos")
-    return Walk(visited, failed)
+    return Walk(candidates.join(decide(candidates, limit, hot_rows), "pos"), failed)
 
 
 def walk_ranges(
@@ -88,10 +93,10 @@ def walk_ranges(
         part = ranked.where((F.col("_rank") >= start) & (F.col("_rank") < start + size)).drop("_rank")
         found = candidates(part)
         looked_at = found if looked_at is None else looked_at.unionByName(found)
-        walked = walk(looked_at, limit, failed, hot_rows)
+        decided = decide(looked_at, limit, hot_rows)
         start, size = start + size, 2 * size
-        if start >= total or walked.accepted.count() >= limit:
-            return walked
+        if start >= total or decided.where(F.col("status") == ACCEPTED).count() >= limit:
+            return Walk(looked_at.join(decided, "pos"), failed)
 
 
 def in_order(listed: DataFrame, *order: str) -> DataFrame:
@@ -187,7 +192,7 @@ def save_run(
     spark: SparkSession,
     make_walk: Callable[[DataFrame], Walk],
     make_records: Callable[[Walk], DataFrame],
-    table: ArticleTable,
+    table: ArticleTable | KeyedArticles,
     ledger: str,
     source: str,
     batch: int,
@@ -203,9 +208,7 @@ def save_run(
         known = table.read(before=(source, batch))
         walked = make_walk(known.select("canonical_key"))
         records = stage(make_records(walked), "records")
-        top = F.coalesce(known.agg(F.max("id")).scalar(), F.lit(0))
-        numbered = with_prior_count(article_rows(records, run_ts), "pos", out="_rank")
-        table.append(numbered.withColumn("id", top + F.col("_rank") + 1), source, batch)
+        table.write_run(article_rows(records, run_ts), source, batch)
         if jsonl:
             write_jsonl_batch(records.drop(*CARRIED), jsonl, source, batch)
         done(walked)
@@ -215,7 +218,7 @@ def save_raw_run(
     spark: SparkSession,
     make_walk: Callable[[DataFrame], Walk],
     make_records: Callable[[Walk], DataFrame],
-    table: ArticleTable,
+    table: ArticleTable | KeyedArticles,
     jsonl: str,
     ledger: str,
     source: str,

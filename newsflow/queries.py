@@ -12,7 +12,7 @@ from newsflow.operators.extract import with_article
 from newsflow.plans import feed, ranked
 from newsflow.schemas import ANALYSIS, ARTICLES, RAW_RECORD, STORY_ITEM
 from newsflow.session import scratch_path, stage
-from newsflow.sources import landing, readers, sinks
+from newsflow.sources import keyed, landing, readers, sinks
 from newsflow.streaming import ingest
 
 RUN_TS = dt.datetime(2026, 1, 1, tzinfo=dt.UTC)
@@ -463,6 +463,43 @@ def upsert_articles(spark, documents, labels):
     return upsert.assign_ids(merged, existing)
 
 
+def run_rows(documents, key, wave):
+    """Article rows of every document for the run ``wave``."""
+    at = F.lit(f"2026-01-0{wave}T00:00:00")
+    mark = F.concat(F.lit(f"{wave} "), F.col("doc_id"))
+    rows = documents.select(
+        F.col("doc_id").alias("pos"), F.sha2(key, 256).alias("canonical_key"),
+        F.concat(F.lit("source "), mark).alias("source"), F.concat(F.lit("title "), mark).alias("title"),
+        F.concat(F.lit(SITE), mark).alias("url"), F.when(F.col("doc_id") % 3 != wave, mark).alias("company"),
+        at.alias("inserted_at"),
+    )
+    missing = [f for f in ARTICLES if f.name not in (*rows.columns, "id")]
+    return rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+
+STORED = ("id", "canonical_key", "source", "title", "url", "company", "inserted_at")
+
+
+@given("documents")
+def upsert_runs(spark, documents):
+    """Two runs over every document; English and French ones meet their keys again in the second, others do not."""
+    text = F.coalesce("text", F.lit(""))
+    again = F.when(F.col("lang").isin("en", "fr"), text).otherwise(F.concat(text, F.lit("+")))
+    articles = keyed.KeyedArticles(spark, scratch_path(spark, "keyed"), buckets=16)
+    articles.write_run(run_rows(documents, text, 1), "a", 0)
+    articles.write_run(run_rows(documents, again, 2), "b", 0)
+    return articles.read().select(*STORED)
+
+
+@given("documents")
+def fold_articles(spark, documents):
+    """Two runs that overlapped: both number their rows from 1 and keep some keys in common."""
+    text = F.coalesce("text", F.lit(""))
+    again = F.when(F.col("lang").isin("en", "fr"), text).otherwise(F.concat(text, F.lit("+")))
+    both = run_rows(documents, text, 1).unionByName(run_rows(documents, again, 2))
+    return upsert.fold_articles(both.withColumn("id", F.col("pos") + 1).drop("pos")).select(*STORED)
+
+
 # --- audit -------------------------------------------------------------------------------------
 
 

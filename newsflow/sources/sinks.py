@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from newsflow.functions.times import isoformat, utc
 from newsflow.operators.dedupe import new_keys
+from newsflow.operators.ordering import with_prior_count
 from newsflow.schemas import ARTICLES, RUN_EVENTS, SEEN_KEYS
 from newsflow.schemas import schema as schema_of
 from newsflow.sources.readers import read_or_empty
@@ -83,6 +84,12 @@ class ArticleTable:
             raise ValueError("a run needs a source and a batch number from 0")
         self._write(rows, f"{self._folder(self.version())}/{batch_folder(source, batch)}")
 
+    def write_run(self, rows: DataFrame, source: str, batch: int) -> None:
+        """Append the rows of a run, all with new keys, and number them in ``pos`` order after the ids before it."""
+        top = F.coalesce(self.read(before=(source, batch)).agg(F.max("id")).scalar(), F.lit(0))
+        numbered = with_prior_count(rows, "pos", out="_rank")
+        self.append(numbered.withColumn("id", top + F.col("_rank") + 1), source, batch)
+
     def _write(self, rows: DataFrame, folder: str) -> None:
         columns = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
         columns.write.mode("overwrite").parquet(folder)
