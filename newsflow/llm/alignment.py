@@ -6,8 +6,9 @@ whose byte ranges overlap are linked.
 
 1. A text is cut before every single space between two non-spaces. No token of A crosses such a place, and none of B
    if no piece has a space behind another character, which is checked when the models are loaded (otherwise a text
-   is one segment). So a text's alignment is the sequence of its segments' alignments, and a task remembers those of
-   recent short segments. A text with a segment that does not give its bytes back is judged as a whole. Results are
+   is one segment). So a text's alignment is the sequence of its segments' alignments, and a worker remembers those of
+   short segments that come again, as columns; a text is a list of places in them. New segments are tokenized many at a
+   time, laid end to end. A text with a segment that does not give its bytes back is judged as a whole. Results are
    staged with the ids of each text, so that every text is tokenized once.
 2. ``same`` maps each A id to the B id with the same bytes. A group of one A token and its ``same`` is exact and is
    counted in a vector as long as A's vocabulary. Only links of other groups are counted as pairs, added up in the
@@ -18,13 +19,17 @@ whose byte ranges overlap are linked.
 """
 
 import hashlib
+import os
 import re
+import weakref
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +40,13 @@ from newsflow.session import stage
 
 SPACE = "▁"
 CUT = re.compile(r"(?<=\S)(?= \S)")
+#: A space that is no cut, in space + text.
+NO_CUT = re.compile(r" (?:(?<=\s )|\s|\Z)")
 HEAVY_PAIRS = 1 << 17
-BLOCK_CHARS = 1_000_000
-CACHED_SEGMENTS, CACHED_CHARS = 300_000, 64
+BLOCK_BYTES = 400_000
+BLOCK_LINKS = 250_000
+PART_CHARS = 20_000
+CACHED_SEGMENTS, CACHED_CHARS = 200_000, 64
 FLUSH_PAIRS = 500_000
 #: A pair of ids is one number: A's id in the upper, B's in the lower 32 bits.
 SHIFT = 32
@@ -63,6 +72,62 @@ class Segment:
     pairs: tuple[int, ...]
 
 
+@dataclass
+class Segments:
+    """Alignments of many segments as columns. A segment that a tokenizer does not give back has no tokens.
+
+    ``counts`` has a row for each of ``NUMBERS``; row ``i`` of a list column lies from ``at[i]`` to ``at[i + 1]``.
+    """
+
+    counts: np.ndarray
+    groups: list[str]
+    exact: np.ndarray
+    exact_at: np.ndarray
+    pairs: np.ndarray
+    pairs_at: np.ndarray
+
+    @classmethod
+    def none(cls) -> "Segments":
+        start = np.zeros(1, dtype=np.int64)
+        return cls(np.zeros((4, 0), dtype=np.int32), [], np.zeros(0, dtype=np.int32), start, np.zeros(0, dtype=np.int64), start)
+
+    def __len__(self) -> int:
+        return len(self.groups)
+
+    def __getitem__(self, i: int) -> Segment | None:
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        n_a, n_b, n_groups, n_links = self.counts[:, i].tolist()
+        exact = self.exact[self.exact_at[i] : self.exact_at[i + 1]].tolist()
+        pairs = self.pairs[self.pairs_at[i] : self.pairs_at[i + 1]].tolist()
+        return Segment(n_a, n_b, n_groups, n_links, self.groups[i], tuple(exact), tuple(pairs)) if n_a else None
+
+    def __add__(self, other: "Segments") -> "Segments":
+        return Segments(
+            np.concatenate([self.counts, other.counts], axis=1),
+            self.groups + other.groups,
+            np.concatenate([self.exact, other.exact]),
+            np.concatenate([self.exact_at, other.exact_at[1:] + self.exact_at[-1]]),
+            np.concatenate([self.pairs, other.pairs]),
+            np.concatenate([self.pairs_at, other.pairs_at[1:] + self.pairs_at[-1]]),
+        )
+
+    def take(self, places: np.ndarray) -> "Segments":
+        return Segments(
+            self.counts[:, places],
+            [self.groups[i] for i in places.tolist()],
+            *taken(self.exact, self.exact_at, places),
+            *taken(self.pairs, self.pairs_at, places),
+        )
+
+
+def taken(values: np.ndarray, at: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values of the rows at ``places`` end to end, where each row starts and the last ends) of a list column."""
+    n = at[places + 1] - at[places]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return values[np.repeat(at[places] - ends[:-1], n) + np.arange(ends[-1])], ends
+
+
 @dataclass
 class Tokenizers:
     """Both models, as the bytes of their files, so that tasks need no file of the driver's."""
@@ -108,44 +173,74 @@ class Tokenizers:
         plain = (self.b.id_to_piece(i) for i in range(self.b.get_piece_size()) if not self.b.is_control(i))
         return not any(SPACE in p.lstrip(SPACE) for p in plain)
 
+    @cached_property
+    def aligner(self) -> "Aligner":
+        """What a worker remembers, also for its next tasks; it goes when the models go, which no cycle may delay."""
+        return Aligner(weakref.proxy(self))
+
     def segments(self, text: str) -> list[str]:
-        """Space + text, cut where neither tokenizer can reach across."""
-        return CUT.split(" " + text) if self.cuttable else [" " + text]
-
-    def align_all(self, segments: list[str]) -> list[Segment | None]:
-        """The alignment of each segment; None if a tokenizer does not give its bytes back."""
-        found = []
-        for start, end in text_blocks(segments, BLOCK_CHARS):
-            part = segments[start:end]
-            of_a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            of_b = self.b.encode([s[1:] for s in part], num_threads=1)
-            raw = [s.encode() for s in part]
-            fits = given_back(of_a, self.a_bytes, raw) & given_back(of_b, self.b_bytes, raw)
-            good = np.flatnonzero(fits).tolist()
-            aligned = iter(align([of_a[i] for i in good], [of_b[i] for i in good], self))
-            found += [next(aligned) if ok else None for ok in fits.tolist()]
-        return found
+        """Text, cut where neither tokenizer can reach across; each cut takes a space away."""
+        if not self.cuttable:
+            return [text]
+        return [s[1:] for s in CUT.split(" " + text)] if NO_CUT.search(" " + text) else text.split(" ")
+
+    def align_all(self, segments: list[str]) -> Segments:
+        """The alignment of each segment, which starts with a space."""
+        of_a, of_b, sizes = [], [], []
+        for start, end in text_blocks(segments, PART_CHARS):
+            a, b, own = self.encode_joined(segments[start:end]) or self.encode_each(segments[start:end])
+            of_a += a
+            of_b += b
+            sizes += own
+        return align(np.array(of_a, dtype=np.int64), np.array(of_b, dtype=np.int64), np.array(sizes, dtype=np.int64), self.tables)
+
+    def encode_joined(self, part: list[str]) -> tuple[list[int], list[int], list[int]] | None:
+        """(ids of A, ids of B, bytes of each segment), encoded as one text; None unless it can be cut into them again."""
+        joined = "".join(part)
+        if len(part) > 1 and not (self.cuttable and CUT.split(joined) == part):
+            return None
+        a, b, raw = self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.b.encode(joined[1:]), joined.encode()
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        return a, b, [len(s) for s in part] if len(raw) == len(joined) else [len(s.encode()) for s in part]
+
+    def encode_each(self, part: list[str]) -> tuple[list[int], list[int], list[int]]:
+        """The same, each encoded alone; no ids and no bytes of a segment that a tokenizer does not give back."""
+        of_a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
+        of_b = self.b.encode([s[1:] for s in part], num_threads=1)
+        raw = [s.encode() for s in part]
+        fits = (given_back(of_a, self.a_bytes, raw) & given_back(of_b, self.b_bytes, raw)).tolist()
+        a = [i for ids, ok in zip(of_a, fits, strict=True) if ok for i in ids]
+        b = [i for ids, ok in zip(of_b, fits, strict=True) if ok for i in ids]
+        return a, b, [len(s) if ok else 0 for s, ok in zip(raw, fits, strict=True)]
 
     @cached_property
     def tables(self) -> "Tables":
+        sides = (self.a_bytes, ",|"), (self.b_bytes, ",;")
+        ids = [[f"{i}{sign}".encode() for i in range(len(own)) for sign in signs] for own, signs in sides]
+        text = np.array([*ids[0], *ids[1]])
         return Tables(
             np.array([len(x) for x in self.a_bytes], dtype=np.int64),
             np.array([len(x) for x in self.b_bytes], dtype=np.int64),
             np.array(self.same, dtype=np.int64),
-            np.array([[f"{i},", f"{i}|"] for i in range(len(self.a_bytes))], dtype=object),
-            np.array([[f"{i},", f"{i};"] for i in range(len(self.b_bytes))], dtype=object),
+            text.view(np.uint8).reshape(len(text), -1),
+            np.array([len(x) for own in ids for x in own], dtype=np.int64),
         )
 
 
 @dataclass
 class Tables:
-    """By id: bytes of the tokens of A and of B, ``same``, and ids as text, inside and at the end of a group."""
+    """By id: bytes of the tokens of A and of B, and ``same``.
+
+    ``text`` has two rows of characters, filled up with zeros, for each id of A and then of B: the id inside and at the
+    end of its side of a group; ``text_size`` their lengths.
+    """
 
     a_size: np.ndarray
     b_size: np.ndarray
     same: np.ndarray
-    a_text: np.ndarray
-    b_text: np.ndarray
+    text: np.ndarray
+    text_size: np.ndarray
 
 
 def given_back(ids: list[list[int]], token_bytes: list[bytes], raw: list[bytes]) -> np.ndarray:
@@ -158,77 +253,109 @@ def load_tokenizers(a_path: str, b_path: str) -> Tokenizers:
         return Tokenizers(a.read(), b.read())
 
 
-def align(of_a: list[list[int]], of_b: list[list[int]], models: Tokenizers) -> list[Segment]:
-    """Groups and links of pairs of tokenizations of the same bytes, none of them empty, worked out for all at once.
+def align(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, tables: Tables) -> Segments:
+    """Groups and links of segments whose tokens lie end to end, as ids of both tokenizers and bytes of each segment.
 
-    The pairs are laid end to end, so that ends of tokens are byte offsets in one sequence. Between two neighbouring
-    ends lies one link; an end of both cuts a group.
+    Ends of tokens are byte offsets in one sequence. Between two neighbouring ends lies one link; an end of both cuts
+    a group, and each segment ends in one.
     """
-    if not of_a:
-        return []
-    tables = models.tables
-    n_a, n_b = np.array([len(x) for x in of_a]), np.array([len(x) for x in of_b])
-    a = np.fromiter(chain.from_iterable(of_a), np.int64, n_a.sum())
-    b = np.fromiter(chain.from_iterable(of_b), np.int64, n_b.sum())
-    ends_a, ends_b = np.cumsum(tables.a_size[a]), np.cumsum(tables.b_size[b])
-    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    ends = np.union1d(ends_a, ends_b)
-    link_a, link_b = a[np.searchsorted(ends_a, ends)], b[np.searchsorted(ends_b, ends)]
-    group = np.searchsorted(cuts, ends)
-    alone = np.bincount(group, minlength=len(cuts))[group] == 1
+    upto = np.cumsum(sizes)
+    in_a, in_b = np.zeros((2, int(upto[-1]) + 1 if len(sizes) else 1), dtype=bool)
+    in_a[np.cumsum(tables.a_size[a])] = True
+    in_b[np.cumsum(tables.b_size[b])] = True
+    ends = np.flatnonzero(in_a | in_b)
+    in_a, in_b = in_a[ends], in_b[ends]
+    cut = in_a & in_b
+    upto_a, upto_b, upto_cut = np.cumsum(in_a), np.cumsum(in_b), np.cumsum(cut)
+    link_a, link_b = a[upto_a - in_a], b[upto_b - in_b]
+    alone = cut & np.concatenate([[True], cut])[: len(cut)]
     exact = alone & (tables.same[link_a] == link_b)
 
     # the groups as text: of each group the ids of A, then those of B
-    group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-    text = np.empty(len(a) + len(b), dtype=object)
-    text[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = tables.a_text[a, (cuts[group_a] == ends_a).astype(int)]
-    text[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = tables.b_text[b, (cuts[group_b] == ends_b).astype(int)]
-    text = text.tolist()
-
-    upto = ends_a[np.cumsum(n_a) - 1]
-    n_groups = np.diff(np.searchsorted(cuts, upto, "right"), prepend=0)
-    last_link = np.searchsorted(ends, upto, "right")
-    n_links = np.diff(last_link, prepend=0)
-    exact_before, pairs_before = np.concatenate([[0], np.cumsum(exact)]), np.concatenate([[0], np.cumsum(~exact)])
-    exact_ids, pair_ids = link_a[exact].tolist(), (link_a << SHIFT | link_b)[~exact].tolist()
-    exact_at, pairs_at = exact_before[last_link].tolist(), pairs_before[last_link].tolist()
-    text_at = np.cumsum(n_a + n_b).tolist()
-    out = []
-    e = p = t = 0
-    for own_a, own_b, groups, links, e_end, p_end, t_end in zip(
-        n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), exact_at, pairs_at, text_at, strict=True
-    ):
-        joined = "".join(text[t:t_end])[:-1]
-        out.append(Segment(own_a, own_b, groups, links, joined, tuple(exact_ids[e:e_end]), tuple(pair_ids[p:p_end])))
-        e, p, t = e_end, p_end, t_end
-    return out
+    group = upto_cut - cut
+    cut_at = np.flatnonzero(cut)
+    at_a, at_b = np.flatnonzero(in_a), np.flatnonzero(in_b)
+    b_before = np.concatenate([[0], upto_b[cut_at]])
+    order = np.empty(len(a) + len(b), dtype=np.int64)
+    order[np.arange(len(a)) + b_before[group[at_a]]] = 2 * a + cut[at_a]
+    order[np.arange(len(b)) + upto_a[cut_at][group[at_b]]] = 2 * (len(tables.a_size) + b) + cut[at_b]
+    text = tables.text[order].ravel()
+    text = text[text != 0].tobytes().decode()
+    text_upto = np.concatenate([[0], np.cumsum(tables.text_size[order])])
+
+    last = np.searchsorted(ends, upto, "right")  # links before the end of each segment
+    before = [np.concatenate([[0], x])[last] for x in (upto_a, upto_b, upto_cut, np.cumsum(exact))]
+    counts = np.array([np.diff(x, prepend=0) for x in (*before[:3], last)], dtype=np.int32).reshape(4, -1)
+    text_at = [0, *text_upto[before[0] + before[1]].tolist()]
+    groups = [text[i : j - 1] if j > i else "" for i, j in zip(text_at[:-1], text_at[1:], strict=True)]
+    exact_at, pairs_at = np.concatenate([[0], before[3]]), np.concatenate([[0], last - before[3]])
+    return Segments(counts, groups, link_a[exact].astype(np.int32), exact_at, (link_a << SHIFT | link_b)[~exact], pairs_at)
 
 
 class Aligner:
-    """Alignments of texts as sequences of segments; remembers those of short segments, up to a fixed number."""
+    """Alignments of texts as sequences of segments; remembers those of short segments, up to a fixed number.
+
+    ``known`` has the place of each segment, in the order of ``found``; ``uses`` says how often it came.
+    """
 
     def __init__(self, models: Tokenizers):
         self.models = models
-        self.known: dict[str, Segment | None] = {}
+        self.known: dict[str, int] = {}
+        self.found = Segments.none()
+        self.uses = np.zeros(0, dtype=np.int64)
+        self.passing: list[str] = []
+
+    def forget(self) -> None:
+        """Drop what served the last texts only; if there are too many segments, also those that came once or least."""
+        for segment in self.passing:
+            del self.known[segment]
+        self.passing = []
+        keep = np.arange(min(len(self.known), len(self.uses)))
+        if len(self.known) > CACHED_SEGMENTS:
+            often = keep[self.uses[keep] > 1]
+            keep = np.sort(often[np.argsort(-self.uses[often], kind="stable")[: CACHED_SEGMENTS // 2]])
+            words = list(self.known)
+            self.known = {words[i]: place for place, i in enumerate(keep.tolist())}
+            self.uses = self.uses // 2
+        if len(keep) < len(self.found):
+            self.found, self.uses = self.found.take(keep), self.uses[keep]
+
+    def add(self, segments: list[str]) -> None:
+        self.found += self.models.align_all([" " + s for s in segments])
+        self.uses = np.concatenate([self.uses, np.zeros(len(segments), dtype=np.int64)])
+
+    def places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``found`` of all segments, where each text starts and the last ends), until the next call.
+
+        None for a text that is empty or not given back.
+        """
+        self.forget()
+        cut = [self.models.segments(t) if t else [] for t in texts]
+        words = list(chain.from_iterable(cut))
+        new = sorted(set(words).difference(self.known), key=lambda s: len(s) > CACHED_CHARS)
+        self.add(new)
+        self.known.update(zip(new, range(len(self.known), len(self.found)), strict=True))
+        self.passing = [s for s in new if len(s) > CACHED_CHARS]
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        starts = np.concatenate([[0], np.cumsum([len(own) for own in cut], dtype=np.int64)])
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        lost = sums(self.found.counts[0][at] == 0, starts) > 0
+        if lost.any():
+            whole = np.flatnonzero(lost)
+            first = len(self.found)
+            self.add([texts[i] for i in whole.tolist()])
+            own = dict(zip(whole.tolist(), range(first, len(self.found)), strict=True))
+            rows = [
+                at[starts[i] : starts[i + 1]] if i not in own else np.array([own[i]] if self.found.counts[0][own[i]] else [], np.int64)
+                for i in range(len(texts))
+            ]
+            at, starts = np.concatenate(rows), np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+        return at, starts
 
     def texts(self, texts: list[str]) -> list[list[Segment]]:
         """The segments of each text; none for a text that is empty or not given back."""
-        cut = [self.models.segments(t) if t else [] for t in texts]
-        if len(self.known) > CACHED_SEGMENTS:
-            self.known.clear()
-        new = [s for s in dict.fromkeys(s for own in cut for s in own) if s not in self.known]
-        long = {}
-        for segment, found in zip(new, self.models.align_all(new), strict=True):
-            (self.known if len(segment) <= CACHED_CHARS else long)[segment] = found
-        known = self.known
-        out = []
-        for text, own in zip(texts, cut, strict=True):
-            found = [known[s] if s in known else long[s] for s in own]
-            if None in found:
-                whole = self.models.align_all([" " + text])[0]
-                found = [whole] if whole is not None else []
-            out.append(found)
-        return out
+        at, starts = self.places(texts)
+        return [[self.found[i] for i in at[start:end].tolist()] for start, end in zip(starts[:-1], starts[1:], strict=True)]
 
 
 ALIGNED_FIELDS = (
@@ -237,11 +364,18 @@ ALIGNED_FIELDS = (
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def lists(values: list, of: pa.DataType) -> pa.ListArray:
-    """A list column from one sequence per row."""
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])])
-    flat = np.fromiter(chain.from_iterable(values), np.int64, offsets[-1])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat).cast(of))
+def blocks(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch`` of about ``most`` in all, each row of the size given."""
+    edges = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(start, end - start)
+
+
+def linked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the columns ``exact`` and ``pairs``, in batches that hold about ``BLOCK_LINKS`` links."""
+    for batch in batches:
+        lengths = [pc.list_value_length(batch.column(c)).to_numpy(zero_copy_only=False) for c in ("exact", "pairs")]
+        yield from blocks(batch, lengths[0].astype(np.int64) + lengths[1], BLOCK_LINKS)
 
 
 def per_row(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,22 +391,27 @@ def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _aligned(models):
     def run(batches):
-        aligner = Aligner(models.value)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        aligner = models.value.aligner
         for batch in batches:
-            texts = [as_text(t) for t in batch.column(1).to_pylist()]
-            for start, end in text_blocks(texts, BLOCK_CHARS):
-                rows = aligner.texts(texts[start:end])
-                numbers = [
-                    list(map(sum, zip(*[(s.n_a, s.n_b, s.n_groups, s.n_links) for s in own], strict=True))) or [0] * 4 for own in rows
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for block in blocks(batch, sizes, BLOCK_BYTES):
+                at, starts = aligner.places([as_text(t) for t in block.column(1).to_pylist()])
+                found = aligner.found
+                places, edges = at.tolist(), starts.tolist()
+                digests = [
+                    hashlib.sha256(";".join([found.groups[i] for i in places[start:end]]).encode()).hexdigest() if end > start else ""
+                    for start, end in zip(edges[:-1], edges[1:], strict=True)
                 ]
-                digests = [hashlib.sha256(";".join([s.groups for s in own]).encode()).hexdigest() if own else "" for own in rows]
+                exact, exact_at = taken(found.exact, found.exact_at, at)
+                pairs, pairs_at = taken(found.pairs, found.pairs_at, at)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(start, end - start),
-                        *(pa.array(column, pa.int64()) for column in zip(*numbers, strict=True)),
+                        block.column(0),
+                        *(pa.array(sums(column[at], starts)) for column in found.counts),
                         pa.array(digests, pa.string()),
-                        lists([list(chain.from_iterable([s.exact for s in own])) for own in rows], pa.int32()),
-                        lists([list(chain.from_iterable([s.pairs for s in own])) for own in rows], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(exact_at[starts], pa.int32()), pa.array(exact)),
+                        pa.ListArray.from_arrays(pa.array(pairs_at[starts], pa.int32()), pa.array(pairs)),
                     ],
                     names=["doc_id", *NUMBERS, "groups_sha256", "exact", "pairs"],
                 )
@@ -290,7 +429,7 @@ def _count(same):
             names = ["pair", "n", "same"]
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts), pa.array(np.full(len(keys), regular))], names=names)
 
-        for batch in batches:
+        for batch in linked_rows(batches):
             vector += np.bincount(per_row(batch.column(0))[0], minlength=len(vector))
             keys, counts = np.unique(per_row(batch.column(1))[0], return_counts=True)
             merged, place = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
@@ -320,7 +459,7 @@ class Totals:
 def _priced(same, totals):
     def run(batches):
         known, to_b = totals.value, same.value
-        for batch in batches:
+        for batch in linked_rows(batches):
             exact, exact_at = per_row(batch.column("exact"))
             pairs, pairs_at = per_row(batch.column("pairs"))
             n = known.same[exact]
@@ -379,7 +518,7 @@ def align_corpus(
     decides which pairs are handed out and which are joined.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     aligned = texts.mapInArrow(_aligned(broadcast(models)), ALIGNED_FIELDS)
     aligned = stage(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
     same = broadcast(np.array(models.same, dtype=np.int64))

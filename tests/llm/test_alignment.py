@@ -1,9 +1,13 @@
 """The alignment against one that looks at every pair of tokens of a whole text."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -108,3 +112,76 @@ def test_odd_tables(spark, models):
     rows = [(None, "a b", "x", 1, 1), (1, None, "x", 1, 1), (1, "a b", None, 1, 1), (1, "a b", "x", 1, 1)]
     got = alignment.align_corpus(spark.createDataFrame(rows, schema), models).collect()
     assert sorted((r.doc_id or 0, r.n_a, r.count_sum) for r in got) == [(0, 2, 6), (1, 0, 0), (1, 2, 6), (1, 2, 6)]
+
+
+def traced_mb(run):
+    """(MB held after ``run``, most held meanwhile, its result)"""
+    tracemalloc.start()
+    try:
+        out = run()
+        return *(x / 1e6 for x in tracemalloc.get_traced_memory()), out
+    finally:
+        tracemalloc.stop()
+
+
+def test_wide_batches_are_priced_in_blocks(models):
+    rows, links = 4000, 1000
+    exact = np.tile(np.arange(links), rows)
+    pairs = np.tile(np.arange(links) << alignment.SHIFT | 7, rows)
+    at = pa.array(np.arange(rows + 1) * links, pa.int32())
+    columns = [pa.ListArray.from_arrays(at, pa.array(exact, pa.int32())), pa.ListArray.from_arrays(at, pa.array(pairs))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["exact", "pairs"])
+    same = SimpleNamespace(value=np.array(models.same, dtype=np.int64))
+    count = np.ones(len(models.same), dtype=np.int64)
+    heavy = np.unique(pairs)[::2]
+    totals = alignment.Totals(count, np.ones(len(models.b_bytes), dtype=np.int64), heavy, np.full(len(heavy), 3))
+    _, most, out = traced_mb(lambda: list(alignment._count(same)([batch])))
+    assert sum(pa.Table.from_batches(out)["n"].to_pylist()) == 2 * rows * links
+    assert most < 150
+    priced = alignment._priced(same, SimpleNamespace(value=totals))
+    _, most, out = traced_mb(lambda: list(priced([batch])))
+    table = pa.Table.from_batches(out)
+    assert table["count_sum"].to_pylist() == [links + 3 * len(heavy)] * rows
+    assert {len(c) for c in table["cold"].to_pylist()} == {links - len(heavy)}
+    assert most < 150
+
+
+def test_remembered_segments_are_small_and_survive_a_full_memory(models, monkeypatch):
+    words = [f"w{i:x}" for i in range(40_000)]
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    models.align_all([" a"])  # tables are made
+    _ = models.same, models.tables
+    run = alignment._aligned(SimpleNamespace(value=models))
+    list(run([batch.slice(0, 1)]))
+    task = run(iter([batch]))
+    held, _, out = traced_mb(lambda: [next(task)])
+    out += list(task)
+    assert held < 25
+    assert sum(pa.Table.from_batches(out)["n_groups"].to_pylist()) >= len(words)
+
+    # what came twice outlasts what came once; results stay
+    monkeypatch.setattr(alignment, "CACHED_SEGMENTS", 1500)
+    aligner = alignment.Aligner(models)
+    common, rest = texts[0], texts[1:]
+    asked = []
+    encode = models.align_all
+    monkeypatch.setattr(models, "align_all", lambda segments: asked.extend(segments) or encode(segments))
+    for text in rest:
+        got = aligner.texts([common, common, text])
+        assert [s.groups for s in got[0]] == [s.groups for s in got[1]]
+        assert ";".join(s.groups for s in got[2]) == encode([" " + text])[0].groups
+        assert len(aligner.known) <= 1500 + 1000
+    assert len(asked) == len(words)  # the common words were worked out once
+
+
+def test_words_between_odd_spaces_are_those_of_the_pattern(models):
+    for text in [t for t in TEXTS if t] + ["a\nb c", "a \nb", "a\n b", "\u3000a b", "a b\u3000", "a\x1c b", "a b ", "  a b", "a  b c"]:
+        assert [" " + s for s in models.segments(text)] == alignment.CUT.split(" " + text)
+    odd = [" a", " b ", "  c", " \u2581", " d", " é", " \n", " e"]
+    got = models.align_all(odd)
+    alone = [models.align_all([s])[0] for s in odd]
+    assert [s and (s.n_a, s.n_b, s.groups, s.exact, s.pairs) for s in got] == [
+        s and (s.n_a, s.n_b, s.groups, s.exact, s.pairs) for s in alone
+    ]
+    assert any(s is None for s in got) and sum(s is not None for s in got) >= 5
