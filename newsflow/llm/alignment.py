@@ -9,7 +9,8 @@ whose byte ranges overlap are linked.
    is one segment). So a text's alignment is the sequence of its segments' alignments, and a worker remembers those of
    short segments that come again, as columns; a text is a list of places in them. New segments are tokenized many at a
    time, laid end to end. A text with a segment that does not give its bytes back is judged as a whole. Results are
-   staged with the ids of each text, so that every text is tokenized once.
+   staged with the different links of each text and how often each comes, so that every text is tokenized once and
+   later steps read what is little longer than the text has different words.
 2. ``same`` maps each A id to the B id with the same bytes. A group of one A token and its ``same`` is exact and is
    counted in a vector as long as A's vocabulary. Only links of other groups are counted as pairs, added up in the
    task before they are shuffled.
@@ -358,8 +359,11 @@ class Aligner:
         return [[self.found[i] for i in at[start:end].tolist()] for start, end in zip(starts[:-1], starts[1:], strict=True)]
 
 
+#: The different links of a text, and how often each comes.
+LINKS = ["exact", "exact_n", "pairs", "pairs_n"]
 ALIGNED_FIELDS = (
-    "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, exact array<int>, pairs array<long>"
+    "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+    "exact array<int>, exact_n array<int>, pairs array<long>, pairs_n array<int>"
 )
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -384,6 +388,27 @@ def per_row(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
 
 
+def per_row_times(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """How often each value of the list column ``name`` comes; once if the rows do not say."""
+    if f"{name}_n" in batch.schema.names:
+        return per_row(batch.column(f"{name}_n"))[0]
+    return np.ones(len(batch.column(name).flatten()), dtype=np.int64)
+
+
+def tallied(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different values of each row end to end, how often each comes there, where each row starts and the last ends)."""
+    known, place = np.unique(values, return_inverse=True)
+    rows = len(at) - 1
+    row = np.repeat(np.arange(rows), np.diff(at))
+    own, times = np.unique(row * len(known) + place, return_counts=True)
+    row, place = np.divmod(own, max(1, len(known)))
+    return known[place], times.astype(np.int32), np.searchsorted(row, np.arange(rows + 1))
+
+
+def lists(at: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))
+
+
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     before = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[starts]
     return before[1:] - before[:-1]
@@ -404,16 +429,20 @@ def _aligned(models):
                     for start, end in zip(edges[:-1], edges[1:], strict=True)
                 ]
                 exact, exact_at = taken(found.exact, found.exact_at, at)
+                exact, exact_n, exact_at = tallied(exact, exact_at[starts])
                 pairs, pairs_at = taken(found.pairs, found.pairs_at, at)
+                pairs, pairs_n, pairs_at = tallied(pairs, pairs_at[starts])
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column(0),
                         *(pa.array(sums(column[at], starts)) for column in found.counts),
                         pa.array(digests, pa.string()),
-                        pa.ListArray.from_arrays(pa.array(exact_at[starts], pa.int32()), pa.array(exact)),
-                        pa.ListArray.from_arrays(pa.array(pairs_at[starts], pa.int32()), pa.array(pairs)),
+                        lists(exact_at, exact),
+                        lists(exact_at, exact_n),
+                        lists(pairs_at, pairs),
+                        lists(pairs_at, pairs_n),
                     ],
-                    names=["doc_id", *NUMBERS, "groups_sha256", "exact", "pairs"],
+                    names=["doc_id", *NUMBERS, "groups_sha256", *LINKS],
                 )
 
     return run
@@ -430,8 +459,8 @@ def _count(same):
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts), pa.array(np.full(len(keys), regular))], names=names)
 
         for batch in linked_rows(batches):
-            vector += np.bincount(per_row(batch.column(0))[0], minlength=len(vector))
-            keys, counts = np.unique(per_row(batch.column(1))[0], return_counts=True)
+            np.add.at(vector, per_row(batch.column("exact"))[0], per_row_times(batch, "exact"))
+            keys, counts = per_row(batch.column("pairs"))[0], per_row_times(batch, "pairs")
             merged, place = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
             total = np.zeros(len(merged), dtype=np.int64)
             np.add.at(total, place, np.concatenate([held[1], counts]))
@@ -462,19 +491,20 @@ def _priced(same, totals):
         for batch in linked_rows(batches):
             exact, exact_at = per_row(batch.column("exact"))
             pairs, pairs_at = per_row(batch.column("pairs"))
+            exact_n, pairs_n = per_row_times(batch, "exact"), per_row_times(batch, "pairs")
             n = known.same[exact]
-            n_best, count_sum = sums(n == known.best[to_b[exact]], exact_at), sums(n, exact_at)
+            n_best, count_sum = sums(exact_n * (n == known.best[to_b[exact]]), exact_at), sums(exact_n * n, exact_at)
             place = np.minimum(np.searchsorted(known.heavy, pairs), max(0, len(known.heavy) - 1))
             found = known.heavy[place] == pairs if len(known.heavy) else np.zeros(len(pairs), dtype=bool)
             n = np.where(found, known.heavy_n[place], 0) if len(known.heavy) else np.zeros(len(pairs), dtype=np.int64)
-            n_best += sums(found & (n == known.best[pairs & 0xFFFFFFFF]), pairs_at)
-            count_sum += sums(n, pairs_at)
+            n_best += sums(pairs_n * (found & (n == known.best[pairs & 0xFFFFFFFF])), pairs_at)
+            count_sum += sums(pairs_n * n, pairs_at)
             cold_at = np.concatenate([[0], np.cumsum(sums(~found, pairs_at))])
-            cold = pa.ListArray.from_arrays(pa.array(cold_at, pa.int32()), pa.array(pairs[~found], pa.int64()))
-            kept = [c for c in batch.schema.names if c not in ("exact", "pairs")]
+            cold, cold_n = lists(cold_at, pairs[~found]), lists(cold_at, pairs_n[~found].astype(np.int32))
+            kept = [c for c in batch.schema.names if c not in LINKS]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(n_best), pa.array(count_sum), cold],
-                names=[*kept, "n_best", "count_sum", "cold"],
+                [*(batch.column(c) for c in kept), pa.array(n_best), pa.array(count_sum), cold, cold_n],
+                names=[*kept, "n_best", "count_sum", "cold", "cold_n"],
             )
 
     return run
@@ -522,13 +552,14 @@ def align_corpus(
     aligned = texts.mapInArrow(_aligned(broadcast(models)), ALIGNED_FIELDS)
     aligned = stage(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
     same = broadcast(np.array(models.same, dtype=np.int64))
-    counted = aligned.select("exact", "pairs").mapInArrow(_count(same), "pair long, n long, same boolean")
+    counted = aligned.select(*LINKS).mapInArrow(_count(same), "pair long, n long, same boolean")
     pairs = stage(counted.groupBy("pair").agg(F.sum("n").alias("n"), F.max("same").alias("same")), "pairs")
     totals = broadcast(_totals(pairs, models, heavy))
     fields = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, row long"
-    rows = stage(aligned.mapInArrow(_priced(same, totals), f"{fields}, n_best long, count_sum long, cold array<long>"), "priced")
+    prices = "n_best long, count_sum long, cold array<long>, cold_n array<int>"
+    rows = stage(aligned.mapInArrow(_priced(same, totals), f"{fields}, {prices}"), "priced")
     best = pairs.groupBy((F.col("pair") % (1 << SHIFT)).alias("b")).agg(F.max("n").alias("most"))
-    cold = rows.select("row", F.explode("cold").alias("pair")).groupBy("row", "pair").agg(F.count(F.lit(1)).alias("times"))
+    cold = rows.select("row", F.inline(F.arrays_zip("cold", "cold_n"))).toDF("row", "pair", "times")
     priced = (
         cold.join(pairs.select("pair", "n"), "pair")
         .withColumn("b", F.col("pair") % (1 << SHIFT))
@@ -536,7 +567,7 @@ def align_corpus(
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.col("n")).alias("rest"), F.sum(F.when(F.col("n") == F.col("most"), F.col("times"))).alias("tops"))
     )
-    return rows.drop("cold").join(priced, "row", "left").select(
+    return rows.drop("cold", "cold_n").join(priced, "row", "left").select(
         "doc_id",
         "n_a",
         "n_b",

@@ -185,3 +185,29 @@ def test_words_between_odd_spaces_are_those_of_the_pattern(models):
         s and (s.n_a, s.n_b, s.groups, s.exact, s.pairs) for s in alone
     ]
     assert any(s is None for s in got) and sum(s is not None for s in got) >= 5
+
+
+def test_links_that_repeat_in_a_text_are_kept_once(models):
+    words = [f"{w}{i}" for i in range(10) for w in ("cat", "größer", "naïveté")]
+    texts = [" ".join(words * 40), None, "", "cat", " ".join(words * 40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(alignment._aligned(SimpleNamespace(value=models))([batch])))
+    whole = [s for s in models.align_all([" " + t for t in texts if t])]
+    own = iter(whole)
+    for row, text in zip(out.to_pylist(), texts, strict=True):
+        segment = next(own) if text else None
+        for name in ("exact", "pairs"):
+            links = Counter(getattr(segment, name)) if segment else {}
+            assert len(row[name]) == len(links) and dict(zip(row[name], row[f"{name}_n"], strict=True)) == links
+    assert sum(map(len, out["exact"].to_pylist())) + sum(map(len, out["pairs"].to_pylist())) < 0.05 * sum(out["n_links"].to_pylist())
+    same = SimpleNamespace(value=np.array(models.same, dtype=np.int64))
+    counted = pa.Table.from_batches(list(alignment._count(same)(out.select(alignment.LINKS).combine_chunks().to_batches())))
+    assert sum(counted["n"].to_pylist()) == sum(out["n_links"].to_pylist())
+
+
+def test_rare_links_that_repeat_count_each_time(spark, models):
+    texts = ["größer12 " * 30 + "naïveté " * 7, "größer12 naïveté", "x" * 70 + " größer12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for heavy in (0, 2):
+        got = alignment.align_corpus(docs, models, heavy=heavy).orderBy("doc_id").collect()
+        assert [tuple(r)[1:] for r in got] == brute(texts)
