@@ -359,7 +359,7 @@ class Aligner:
         return [[self.found[i] for i in at[start:end].tolist()] for start, end in zip(starts[:-1], starts[1:], strict=True)]
 
 
-#: The different links of a text, and how often each comes.
+#: The different links of a text, those that repeat first, and how often each of these comes.
 LINKS = ["exact", "exact_n", "pairs", "pairs_n"]
 ALIGNED_FIELDS = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -388,21 +388,25 @@ def per_row(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
 
 
-def per_row_times(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    """How often each value of the list column ``name`` comes; once if the rows do not say."""
+def per_row_times(batch: pa.RecordBatch, name: str, at: np.ndarray) -> np.ndarray:
+    """How often each value of the list column ``name``, whose rows start at ``at``, comes; once where the row does not say."""
+    times = np.ones(at[-1], dtype=np.int64)
     if f"{name}_n" in batch.schema.names:
-        return per_row(batch.column(f"{name}_n"))[0]
-    return np.ones(len(batch.column(name).flatten()), dtype=np.int64)
+        more, more_at = per_row(batch.column(f"{name}_n"))
+        times[np.arange(len(more)) + np.repeat(at[:-1] - more_at[:-1], np.diff(more_at))] = more
+    return times
 
 
-def tallied(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(different values of each row end to end, how often each comes there, where each row starts and the last ends)."""
+def tallied(values: np.ndarray, at: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """(different values of each row, those that repeat first; how often each of these comes). Never more than ``values``."""
     known, place = np.unique(values, return_inverse=True)
     rows = len(at) - 1
     row = np.repeat(np.arange(rows), np.diff(at))
     own, times = np.unique(row * len(known) + place, return_counts=True)
     row, place = np.divmod(own, max(1, len(known)))
-    return known[place], times.astype(np.int32), np.searchsorted(row, np.arange(rows + 1))
+    more = times > 1
+    starts, more_starts = (np.searchsorted(x, np.arange(rows + 1)) for x in (row, row[more]))
+    return lists(starts, known[place[np.argsort(2 * row + ~more, kind="stable")]]), lists(more_starts, times[more].astype(np.int32))
 
 
 def lists(at: np.ndarray, values: np.ndarray) -> pa.ListArray:
@@ -429,18 +433,14 @@ def _aligned(models):
                     for start, end in zip(edges[:-1], edges[1:], strict=True)
                 ]
                 exact, exact_at = taken(found.exact, found.exact_at, at)
-                exact, exact_n, exact_at = tallied(exact, exact_at[starts])
                 pairs, pairs_at = taken(found.pairs, found.pairs_at, at)
-                pairs, pairs_n, pairs_at = tallied(pairs, pairs_at[starts])
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column(0),
                         *(pa.array(sums(column[at], starts)) for column in found.counts),
                         pa.array(digests, pa.string()),
-                        lists(exact_at, exact),
-                        lists(exact_at, exact_n),
-                        lists(pairs_at, pairs),
-                        lists(pairs_at, pairs_n),
+                        *tallied(exact, exact_at[starts]),
+                        *tallied(pairs, pairs_at[starts]),
                     ],
                     names=["doc_id", *NUMBERS, "groups_sha256", *LINKS],
                 )
@@ -459,8 +459,10 @@ def _count(same):
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts), pa.array(np.full(len(keys), regular))], names=names)
 
         for batch in linked_rows(batches):
-            np.add.at(vector, per_row(batch.column("exact"))[0], per_row_times(batch, "exact"))
-            keys, counts = per_row(batch.column("pairs"))[0], per_row_times(batch, "pairs")
+            exact, exact_at = per_row(batch.column("exact"))
+            np.add.at(vector, exact, per_row_times(batch, "exact", exact_at))
+            keys, pairs_at = per_row(batch.column("pairs"))
+            counts = per_row_times(batch, "pairs", pairs_at)
             merged, place = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
             total = np.zeros(len(merged), dtype=np.int64)
             np.add.at(total, place, np.concatenate([held[1], counts]))
@@ -491,7 +493,7 @@ def _priced(same, totals):
         for batch in linked_rows(batches):
             exact, exact_at = per_row(batch.column("exact"))
             pairs, pairs_at = per_row(batch.column("pairs"))
-            exact_n, pairs_n = per_row_times(batch, "exact"), per_row_times(batch, "pairs")
+            exact_n, pairs_n = per_row_times(batch, "exact", exact_at), per_row_times(batch, "pairs", pairs_at)
             n = known.same[exact]
             n_best, count_sum = sums(exact_n * (n == known.best[to_b[exact]]), exact_at), sums(exact_n * n, exact_at)
             place = np.minimum(np.searchsorted(known.heavy, pairs), max(0, len(known.heavy) - 1))
